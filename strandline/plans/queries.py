@@ -77,9 +77,9 @@ _SNAPSHOT = {c: _COPIES[c] for c in ("acctname", "acctstatcd", "mjaccttypcd", "b
 
 _P1 = """
 WITH once AS (
-  SELECT acctnbr, change_id, min(_cdc_batch_id) AS batch, min(_cdc_valid_from) AS at, upper(left(trim(min(_cdc_operation)), 1)) AS op
+  SELECT acctnbr, change_id, min(_cdc_batch_id) AS batch, min(_cdc_valid_from) AS since, upper(left(trim(min(_cdc_operation)), 1)) AS op
   FROM acct_change WHERE acctnbr IS NOT NULL AND _cdc_valid_from IS NOT NULL GROUP BY acctnbr, change_id
-), last AS (SELECT *, row_number() OVER (PARTITION BY acctnbr ORDER BY at DESC, batch DESC, change_id DESC) AS rn FROM once)
+), last AS (SELECT *, row_number() OVER (PARTITION BY acctnbr ORDER BY since DESC, batch DESC, change_id DESC) AS rn FROM once)
 SELECT acctnbr, change_id FROM last WHERE rn = 1 AND op <> 'D'
 """
 
