@@ -16,8 +16,8 @@ Defined results
 - A null batch counts as higher than every other.
 - Deliveries of one change id that contradict each other: the one with the lowest batch holds, then
   the lowest file id and position.
-- An empty feed gives an empty table; extra columns are carried through, whatever their names (the
-  operator's own columns all begin with ``__``).
+- An empty feed gives an empty table; extra columns are carried through, and one that is named like a
+  column of the operator's own (``__file``, ``__pos``, ``__vf``, ``__vb``, ``__bits``) gets a ``_`` more.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from ..plans.storage import new_path
 
 _WHITE = " \t\n\r\f\x0b 　"
 _LAST = (1 << 63) - 1
+_OWN = ("__file", "__pos", "__vf", "__vb", "__bits")
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,7 @@ def _scan(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
     """Image rows with the hash of their file's path and their position in it."""
     df = spark.read.parquet(*paths)
     return df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *[F.col(f"`{c}`").alias(f"{c}_" if c.lower() in _OWN else c) for c in df.columns],
         F.xxhash64("_metadata.file_path").alias("__file"),
         F.col("_metadata.row_index").alias("__pos"),
     )
@@ -167,6 +168,7 @@ def apply_changes(spark: SparkSession, table: ChangeTable, feed: DataFrame) -> C
 def read_table(spark: SparkSession, table: ChangeTable) -> DataFrame:
     """The rows that hold now: the images without the positions marked in their file's vectors."""
     images = _scan(spark, table.images)
+    own = images.columns[:-2]
     vectors = spark.read.parquet(table.vectors).select(
         F.col("__file").alias("__vf"), F.col("__block").alias("__vb"), "__bits"
     )
@@ -177,7 +179,7 @@ def read_table(spark: SparkSession, table: ChangeTable) -> DataFrame:
         & (bitmaps.block_of(F.col("__pos")) == F.col("__vb"))
         & bitmaps.is_set(F.col("__bits"), F.col("__pos"))
     )
-    return images.join(vectors, marked, "left_anti").drop("__file", "__pos")
+    return images.join(vectors, marked, "left_anti").select(*[F.col(f"`{c}`") for c in own])
 
 
 ACCOUNT_FEED = FeedColumns(("acctnbr",), "change_id", "_cdc_valid_from", "_cdc_batch_id", "_cdc_operation")

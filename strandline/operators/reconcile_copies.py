@@ -240,11 +240,12 @@ def log_findings(log: DataFrame, counts: DataFrame, found: DataFrame, bucket_by:
 
 
 ACCOUNT_KEYS = ["batch_id", "acctnbr"]
+ACCOUNT_FIELDS = ["branchnbr", "mjaccttypcd", "acctstatcd", "acctname", "curbal", "intrate", "opendate", "note"]
 
 
 def account_findings(spark: SparkSession, source: DataFrame, target: DataFrame, log: DataFrame) -> DataFrame:
     """(batch_id, acctnbr, field_name) of the two account copies and the log of earlier runs."""
-    fields = [c for c in source.columns if c not in ACCOUNT_KEYS]
+    fields = ACCOUNT_FIELDS
     counts = materialise(key_counts(source, target, ACCOUNT_KEYS, "batch_id"), "counts")
     found = materialise(differing_rows(source, target, ACCOUNT_KEYS, fields, "batch_id", counts), "differences")
     rows = found.select("batch_id", "acctnbr", F.explode("names").alias("field_name"))
