@@ -59,12 +59,15 @@ def write_snapshot(df: DataFrame, snapshot: Snapshot) -> DataFrame:
 
 
 def verify(spark: SparkSession, snapshot: Snapshot) -> DataFrame:
-    """(file, problem) for each file that is missing, new or changed, and a row for a wrong row count."""
+    """(file, problem) for each file that is missing, new or changed; if there is none, a row for a
+    wrong row count."""
     want = spark.read.parquet(snapshot.manifest)
     have = _digests(spark, snapshot.path)
     both = want.select("file", F.col("sha256").alias("w")).join(have.select("file", F.col("sha256").alias("h")), "file", "full")
     problem = F.when(F.col("h").isNull(), "missing").when(F.col("w").isNull(), "unexpected").when(F.col("h") != F.col("w"), "changed")
     files = both.select("file", problem.alias("problem")).where("problem IS NOT NULL")
+    if not files.isEmpty():
+        return files
     rows = spark.read.parquet(snapshot.path).agg(F.count("*").alias("n")).crossJoin(want.agg(F.max("rows").alias("r")))
     return files.unionByName(rows.where("n <> r").select(F.lit("*").alias("file"), F.lit("row count").alias("problem")))
 
