@@ -4,8 +4,8 @@ A plan wants each source to fill its share of the plan's tokens.  A source's doc
 in whole copies, as often as they fit; what is left of the target is one more copy of some documents.
 These are the first in order of their ranking number, the odds of a uniform number divided by the odds
 of the document's inclusion probability, until their tokens reach what is left: a sample of fixed size
-with the given, possibly unequal, probabilities.  Last, the one further document whose size comes
-nearest to the remaining gap is added if that brings the source nearer to its target.
+with the given, possibly unequal, probabilities.  Last, one further document, or one in place of a
+sampled one, is taken if that closes the remaining gap better.
 
 No source is ever sorted in one task.  The ranking numbers are cut into 4,096 steps and those of one
 step into 4,096 again; sums per step, gathered map-side, tell where the target is reached, and only
@@ -34,6 +34,8 @@ STEPS = 4096
 BROADCAST_ROWS = 100_000
 #: Rounds that settle which documents are certain when weights are unequal.
 ROUNDS = 8
+#: Tokens by which a swap may miss the gap.
+SLACK = 2
 _PAIR = ["plan_id", "source"]
 
 
@@ -152,10 +154,23 @@ def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: s
         | ((F.col("step") == F.col("cross")) & (F.col("fine") == F.col("fcross")) & F.coalesce(F.struct("place", "doc_id") <= F.col("end"), F.lit(False)))
     )
     marked = ranked.join(third, _PAIR).withColumn("extra", F.coalesce(taken, F.lit(False)))
-    off = F.abs(F.col("gap") - F.col("tokens"))
-    filler = marked.where("NOT extra AND place IS NOT NULL").where(off < F.col("gap")).groupBy(*_PAIR).agg(F.min(F.struct(off.alias("off"), "place", "doc_id")).alias("fill"))
-    filler = _small(filler.select(*_PAIR, F.col("fill.doc_id").alias("fill")))
-    uses = F.col("whole") + (F.col("extra") | F.coalesce(F.col("doc_id") == F.col("fill"), F.lit(False))).cast("int")
+    # The gap is closed by one more document, or by one in place of another; sizes stand for documents.
+    free = marked.where("NOT extra AND place IS NOT NULL").groupBy(*_PAIR, "gap", "tokens").agg(F.min(F.struct("place", "doc_id")).alias("y"))
+    held = marked.where("extra").groupBy(*_PAIR, "gap", "tokens").agg(F.max(F.struct("place", "doc_id")).alias("x"))
+    error = F.abs(F.col("gap") - F.col("tokens"))
+    one_more = free.select(*_PAIR, "gap", error.alias("off"), F.lit(0).alias("swap"), F.col("y.doc_id").alias("fill"), F.lit(None).cast("bigint").alias("drop"))
+    near = F.explode(F.array(*[F.lit(d).cast("bigint") for d in range(-SLACK, SLACK + 1)]))
+    wanted = held.select(*_PAIR, "gap", "x", F.col("tokens").alias("less"), near.alias("d")).withColumn(
+        "tokens", F.col("less") + F.round("gap").cast("bigint") + F.col("d")
+    )
+    gain = F.col("tokens") - F.col("less")
+    swaps = wanted.join(free.drop("gap"), [*_PAIR, "tokens"]).select(
+        *_PAIR, "gap", F.abs(F.col("gap") - gain).alias("off"), F.lit(1).alias("swap"), F.col("y.doc_id").alias("fill"), F.col("x.doc_id").alias("drop")
+    )
+    best = one_more.unionByName(swaps).where("off < gap").groupBy(*_PAIR).agg(F.min(F.struct("off", "swap", "fill", "drop")).alias("b"))
+    filler = _small(best.select(*_PAIR, "b.fill", "b.drop"))
+    kept = F.col("extra") & F.coalesce(F.col("doc_id") != F.col("drop"), F.lit(True))
+    uses = F.col("whole") + (kept | F.coalesce(F.col("doc_id") == F.col("fill"), F.lit(False))).cast("int")
     chosen = marked.join(filler, _PAIR, "left").select(*_PAIR, "doc_id", "tokens", uses.alias("uses")).where("uses > 0")
     return chosen, plans
 
