@@ -38,7 +38,7 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "It took only 9 min.", "It took 80 ms.", "The copy ended within 7 ms.", "He left it to us.", "The table is ORG.", "Compare red vs. blue, cf. note 4.", "J. R. Stone wrote version v2.1.", "\"Is the tide in?\" asked the cook.",
         "\"Hold the line!\" shouted J. Stone.", "The mate said \"wait for me\" and ran.", "The log read: \"All is well. Nobody slept.\"",
         "He said that “the sea is calm. It always was.” and slept.", "(The same held in 1902; cf. p. 9 of the log.)", "Read No. 12 in app. C, p. 3.",
-        "row_count is null here.", "deck_plan must be set first.", "tide_time was wrong.", "Owner: the crew, dept. 5.", "Set it to 9.", "Nobody came (see note 3).",
+        "row_count is null here.", "deck_plan must be set first.", "tide_time was wrong.", "deckid is empty today.", "balance is null here.", "netcode was lost, e.g. in port.", "shipmark fell out.", "tidemark is set.", "x-ray is late.", "Owner: the crew, dept. 5.", "Set it to 9.", "Nobody came (see note 3).",
         "The files are in log.txt.", "We kept 40 rows - again.", "25 boats came back.", "It’s late, and they’ll say so.", "Nothing was lost, was it?", "Ask Ms. Reed.",
         "The keys differ by 4, approx. 20 percent.",
     ),

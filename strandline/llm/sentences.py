@@ -120,7 +120,7 @@ def _before(u: np.ndarray, i: np.ndarray) -> np.ndarray:
     t = _tables()
     at = i[:, None] - 1 - np.arange(_LENGTH)
     c = u[np.maximum(at, 0)]
-    stop = (at < 0) | t["white"][c] | t["open"][c] | (c == 0x2019)
+    stop = (at < 0) | t["blank"][c] | t["open"][c] | (c == 0x2019)
     c = np.where(np.logical_or.accumulate(stop, axis=1), 0, t["low"][c])
     return c
 
