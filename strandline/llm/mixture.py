@@ -50,10 +50,10 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return encode_documents(named, "text", ["doc_id", "source"]).select("doc_id", "source", F.size("ids").cast("bigint").alias("tokens"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A written table of plans and sources, to be broadcast if it is small."""
+def _written(df: DataFrame, small: bool) -> DataFrame:
+    """A written table with at most a row per plan and source, broadcast if there are few of those."""
     done = materialise(df, "mixture")
-    return F.broadcast(done) if done.count() <= BROADCAST_ROWS else done
+    return F.broadcast(done) if small else done
 
 
 def allocate(sizes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def allocate(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return out.withColumn("left", left).withColumn("scale", F.when(F.col("have") > 0, left / F.col("have")).otherwise(0.0))
 
 
-def _solve(rows: DataFrame, plans: DataFrame) -> DataFrame:
+def _solve(rows: DataFrame, plans: DataFrame, small: bool) -> DataFrame:
     """The scale at which min(1, scale * weight) gives the wanted tokens, where weights are unequal."""
     for _ in range(ROUNDS):
         certain = F.col("scale") * F.col("w") >= 1
@@ -87,7 +87,7 @@ def _solve(rows: DataFrame, plans: DataFrame) -> DataFrame:
             F.sum(F.when(~certain, F.col("tokens") * F.col("w")).otherwise(0.0)).alias("free"),
         )
         nxt = F.when(F.col("free") > 0, (F.col("left") - F.col("sure")) / F.col("free")).otherwise(F.col("scale"))
-        plans = _small(plans.join(sums, _PAIR, "left").withColumn("scale", F.coalesce(F.greatest(nxt, F.lit(0.0)), "scale")).drop("sure", "free"))
+        plans = _written(plans.join(sums, _PAIR, "left").withColumn("scale", F.coalesce(F.greatest(nxt, F.lit(0.0)), "scale")).drop("sure", "free"), small)
     return plans
 
 
@@ -105,12 +105,14 @@ def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: s
     ``sizes`` has doc_id, source and tokens, and ``weight`` names its column of relative inclusion
     weights, equal if there is none; it is read several times, so it should be a written table.
     """
-    plans = _small(allocate(sizes, targets))
+    plans = materialise(allocate(sizes, targets), "mixture")
+    small = plans.count() <= BROADCAST_ROWS
+    plans = F.broadcast(plans) if small else plans
     w = F.col(weight) if weight else F.lit(1.0)
     rows = sizes.where("tokens > 0 AND source IS NOT NULL").select("source", "doc_id", "tokens", F.greatest(w.cast("double"), F.lit(1e-12)).alias("w"))
     rows = rows.join(plans.where("have > 0").select(*_PAIR, "whole"), "source")
     if weight:
-        plans = _solve(rows, plans)
+        plans = _solve(rows, plans, small)
     chance = F.least(F.col("scale") * F.col("w"), F.lit(1.0 - 1e-12))
     u = (F.pmod(F.xxhash64("plan_id", "doc_id", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     odds = (u / (1 - u)) * (1 - F.col("chance")) / F.col("chance")
@@ -123,30 +125,33 @@ def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: s
     )
     sampled = ranked.where("place IS NOT NULL")
     coarse = _reach(sampled.groupBy(*_PAIR, "step").agg(F.sum("tokens").alias("tokens")), plans, "step", "left")
-    first = _small(
+    first = _written(
         plans.select(*_PAIR, "left").join(coarse, _PAIR, "left").select(
             *_PAIR, F.coalesce("last", F.lit(-1)).alias("c"), (F.col("left") - F.coalesce("before", F.lit(0))).alias("left1")
-        )
+        ),
+        small,
     )
     # Steps may be empty, so the one that crosses the target is the next that has documents.
     nxt = sampled.join(first, _PAIR).where("step > c").groupBy(*_PAIR).agg(F.min("step").alias("cross"))
-    first = _small(first.join(nxt, _PAIR, "left"))
+    first = _written(first.join(nxt, _PAIR, "left"), small)
     inner = sampled.join(first, _PAIR).where("step = cross")
     fine = _reach(inner.groupBy(*_PAIR, "fine").agg(F.sum("tokens").alias("tokens")), first, "fine", "left1")
-    second = _small(
+    second = _written(
         first.join(fine, _PAIR, "left").select(
             *_PAIR, "c", "cross", F.coalesce("last", F.lit(-1)).alias("f"), (F.col("left1") - F.coalesce("before", F.lit(0))).alias("left2")
-        )
+        ),
+        small,
     )
     edge = sampled.join(second, _PAIR).where("step = cross AND fine > f")
     follow = edge.groupBy(*_PAIR).agg(F.min("fine").alias("fcross"))
-    second = _small(second.join(follow, _PAIR, "left"))
+    second = _written(second.join(follow, _PAIR, "left"), small)
     order = Window.partitionBy(*_PAIR).orderBy("place", "doc_id")
     last = sampled.join(second, _PAIR).where("step = cross AND fine = fcross")
     last = last.withColumn("upto", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("upto <= left2")
     ends = last.groupBy(*_PAIR).agg(F.max(F.struct("place", "doc_id")).alias("end"), F.max("upto").alias("upto"))
-    third = _small(
-        second.join(ends, _PAIR, "left").select(*_PAIR, "c", "cross", "f", "fcross", "end", (F.col("left2") - F.coalesce("upto", F.lit(0))).alias("gap"))
+    third = _written(
+        second.join(ends, _PAIR, "left").select(*_PAIR, "c", "cross", "f", "fcross", "end", (F.col("left2") - F.coalesce("upto", F.lit(0))).alias("gap")),
+        small,
     )
     taken = (
         (F.col("step") <= F.col("c"))
@@ -168,7 +173,7 @@ def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: s
         *_PAIR, "gap", F.abs(F.col("gap") - gain).alias("off"), F.lit(1).alias("swap"), F.col("y.doc_id").alias("fill"), F.col("x.doc_id").alias("drop")
     )
     best = one_more.unionByName(swaps).where("off < gap").groupBy(*_PAIR).agg(F.min(F.struct("off", "swap", "fill", "drop")).alias("b"))
-    filler = _small(best.select(*_PAIR, "b.fill", "b.drop"))
+    filler = _written(best.select(*_PAIR, "b.fill", "b.drop"), small)
     kept = F.col("extra") & F.coalesce(F.col("doc_id") != F.col("drop"), F.lit(True))
     uses = F.col("whole") + (kept | F.coalesce(F.col("doc_id") == F.col("fill"), F.lit(False))).cast("int")
     chosen = marked.join(filler, _PAIR, "left").select(*_PAIR, "doc_id", "tokens", uses.alias("uses")).where("uses > 0")
