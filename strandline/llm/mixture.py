@@ -92,11 +92,13 @@ def _solve(rows: DataFrame, plans: DataFrame, small: bool) -> DataFrame:
 
 
 def _reach(sums: DataFrame, plans: DataFrame, step: str, left: str) -> DataFrame:
-    """The step at which each plan and source reaches its target, and the tokens before it."""
-    w = Window.partitionBy(*_PAIR).orderBy(step)
-    run = sums.withColumn("upto", F.sum("tokens").over(w))
-    before = run.join(plans.select(*_PAIR, left), _PAIR).where(F.col("upto") <= F.col(left))
-    return before.groupBy(*_PAIR).agg(F.max(step).alias("last"), F.max("upto").alias("before"))
+    """Per plan and source: the last step wholly inside the target, the tokens up to it, and the step
+    that crosses the target (null if all fit)."""
+    run = sums.withColumn("upto", F.sum("tokens").over(Window.partitionBy(*_PAIR).orderBy(step)))
+    inside = F.col("upto") <= F.col(left)
+    return run.join(plans.select(*_PAIR, left), _PAIR).groupBy(*_PAIR).agg(
+        F.max(F.when(inside, F.col(step))).alias("last"), F.max(F.when(inside, F.col("upto"))).alias("before"), F.min(F.when(~inside, F.col(step))).alias("next")
+    )
 
 
 def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -127,24 +129,18 @@ def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: s
     coarse = _reach(sampled.groupBy(*_PAIR, "step").agg(F.sum("tokens").alias("tokens")), plans, "step", "left")
     first = _written(
         plans.select(*_PAIR, "left").join(coarse, _PAIR, "left").select(
-            *_PAIR, F.coalesce("last", F.lit(-1)).alias("c"), (F.col("left") - F.coalesce("before", F.lit(0))).alias("left1")
+            *_PAIR, F.coalesce("last", F.lit(-1)).alias("c"), F.col("next").alias("cross"), (F.col("left") - F.coalesce("before", F.lit(0))).alias("left1")
         ),
         small,
     )
-    # Steps may be empty, so the one that crosses the target is the next that has documents.
-    nxt = sampled.join(first, _PAIR).where("step > c").groupBy(*_PAIR).agg(F.min("step").alias("cross"))
-    first = _written(first.join(nxt, _PAIR, "left"), small)
     inner = sampled.join(first, _PAIR).where("step = cross")
     fine = _reach(inner.groupBy(*_PAIR, "fine").agg(F.sum("tokens").alias("tokens")), first, "fine", "left1")
     second = _written(
         first.join(fine, _PAIR, "left").select(
-            *_PAIR, "c", "cross", F.coalesce("last", F.lit(-1)).alias("f"), (F.col("left1") - F.coalesce("before", F.lit(0))).alias("left2")
+            *_PAIR, "c", "cross", F.coalesce("last", F.lit(-1)).alias("f"), F.col("next").alias("fcross"), (F.col("left1") - F.coalesce("before", F.lit(0))).alias("left2")
         ),
         small,
     )
-    edge = sampled.join(second, _PAIR).where("step = cross AND fine > f")
-    follow = edge.groupBy(*_PAIR).agg(F.min("fine").alias("fcross"))
-    second = _written(second.join(follow, _PAIR, "left"), small)
     order = Window.partitionBy(*_PAIR).orderBy("place", "doc_id")
     last = sampled.join(second, _PAIR).where("step = cross AND fine = fcross")
     last = last.withColumn("upto", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("upto <= left2")
