@@ -64,10 +64,10 @@ def allocate(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.max(F.coalesce("total_fraction", F.lit(0.0))).alias("fraction"),
     )
     have = sizes.groupBy("source").agg(F.sum("tokens").alias("have"))
-    total = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total"))
-    joined = plans.join(have, "source", "left").crossJoin(F.broadcast(total))
+    total = sizes.agg(F.sum("tokens").alias("total")).first()["total"] or 0
+    joined = plans.join(have, "source", "left")
     have_ = F.coalesce(F.col("have"), F.lit(0))
-    plan_total = F.col("fraction") * F.col("total")
+    plan_total = F.col("fraction") * F.lit(float(total))
     target = F.col("weight") * plan_total
     want = F.least(target, (F.col("limit") * have_).cast("double"))
     whole = F.when(have_ > 0, F.floor(want / have_)).otherwise(0).cast("int")
