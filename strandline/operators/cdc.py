@@ -96,8 +96,8 @@ def append_only(fresh: DataFrame, at: str, batch_id: int) -> DataFrame:
 
 def snapshot_deletes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the earlier snapshot that the later one lacks; none if the later one is empty."""
-    some = after.select(F.lit(True).alias("__some")).limit(1)
-    return before.select(*keys).distinct().join(after, list(keys), "left_anti").join(F.broadcast(some), how="left_semi")
+    found = before.select(*keys).distinct().join(after.select(*keys), list(keys), "left_anti")
+    return found.limit(0) if after.isEmpty() else found
 
 
 def phantom_updates(counts: DataFrame, ratio: float = 0.5, least: int = 1000) -> DataFrame:

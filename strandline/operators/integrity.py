@@ -32,21 +32,19 @@ def overlapping(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
 def business_overlapping(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with versions whose business intervals overlap; ends may precede begins here.
 
-    An interval that runs backwards overlaps those that begin before its end and end after its begin.
-    Sorted by begin, a version overlaps an earlier or equal one if the largest end so far is after its
-    begin and the earlier begin is before its own end; both are running values of one sort, and the
-    few candidates with backward intervals are confirmed pair by pair inside their key.
+    Two intervals overlap if each begins before the other ends.  Forward intervals are sorted by begin:
+    one overlaps an earlier one if it begins before the largest end so far.  A backward (or empty) one
+    overlaps just those forward ones that begin before its end and end after its begin: placed at its
+    end among the others' begins, it needs the largest end so far to be after its own begin.  Two
+    backward ones never overlap.  Both are one sort per key; no pairs are formed.
     """
     rows = bronze.select(*keys, F.col("UdmSourceBeginDate").alias("b"), F.col("UdmSourceEndDate").alias("e")).where("b IS NOT NULL AND e IS NOT NULL")
     rows = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
-    w = Window.partitionBy(*keys).orderBy("b", "e").rowsBetween(Window.unboundedPreceding, -1)
-    run = rows.withColumns({"__me": F.max(F.when(F.col("b") < F.col("e"), F.col("e"))).over(w), "__odd": F.max(F.col("b") >= F.col("e")).over(Window.partitionBy(*keys))})
-    plain = run.where((F.col("b") < F.col("e")) & (F.col("b") < F.col("__me"))).select(*keys)
-    # A backward interval [b, e], e <= b, meets another exactly if that one spans both: begins before e, ends after b.
-    odd = run.where("__odd")
-    back = odd.where("b >= e").select(*keys, F.col("b").alias("ob"), F.col("e").alias("oe"))
-    span = odd.where("b < e").join(back, list(keys)).where((F.col("b") < F.col("oe")) & (F.col("ob") < F.col("e"))).select(*keys)
-    return plain.union(span).distinct()
+    forward = F.col("b") < F.col("e")
+    placed = rows.withColumns({"at": F.least("b", "e"), "fwd": forward.cast("int")})
+    w = Window.partitionBy(*keys).orderBy("at", "fwd").rowsBetween(Window.unboundedPreceding, -1)
+    run = placed.withColumn("reach", F.max(F.when(forward, F.col("e"))).over(w))
+    return run.where(F.col("b") < F.col("reach")).select(*keys).distinct()
 
 
 def version_gaps(bronze: DataFrame, keys: Sequence[str], above: int = 1) -> DataFrame:

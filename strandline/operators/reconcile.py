@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .integrity import latest_per_key
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """The columns of several one-row frames in one row."""
+    names = [c for f in frames for c in f.columns]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).agg(*[F.max(c).alias(c) for c in names])
+
+
 def columns_compare(source: DataFrame, stage: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """(column_name, mismatches): null-safe, column by column, and 'any column', over common keys."""
     s = source.select(*keys, F.struct(*columns).alias("__s"))
@@ -43,10 +49,11 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
 
 def count_deltas(layers: dict[str, DataFrame], first: str) -> DataFrame:
     """Counts with their difference from the first layer's; null where either layer is empty."""
-    counts = layer_counts(layers)
-    base = counts.where(F.col("layer") == first).select(F.col("row_count").alias("__base"))
+    # One row per layer, so one partition holds them all.
+    base = F.max(F.when(F.col("layer") == first, F.col("row_count"))).over(Window.partitionBy(F.lit(0)))
     both = (F.col("row_count") > 0) & (F.col("__base") > 0)
-    return counts.crossJoin(F.broadcast(base)).select("layer", "row_count", F.when(both, F.col("row_count") - F.col("__base")).alias("delta"))
+    counts = layer_counts(layers).withColumn("__base", base)
+    return counts.select("layer", "row_count", F.when(both, F.col("row_count") - F.col("__base")).alias("delta"))
 
 
 def _numbers(df: DataFrame) -> list[str]:
@@ -116,7 +123,7 @@ def stage_against_bronze(stage: DataFrame, bronze: DataFrame, keys: Sequence[str
 
     s = repeated(stage.where("_cdc_is_current = 1"), "stage_duplicates")
     b = repeated(bronze.where("UdmActiveFlag = 1"), "bronze_duplicates")
-    return d.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(b))
+    return one_row(d, s, b)
 
 
 def modified_sweep(source: DataFrame, bronze: DataFrame, keys: Sequence[str], modified: str) -> DataFrame:
@@ -174,4 +181,4 @@ def boundary(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataF
     """One row: rows on both sides of a layer boundary, and target keys that the source lacks."""
     orphans = target.select(*keys).join(source.select(*keys).distinct(), list(keys), "left_anti").agg(F.count("*").alias("orphans"))
     s, t = source.agg(F.count("*").alias("source_rows")), target.agg(F.count("*").alias("target_rows"))
-    return s.crossJoin(F.broadcast(t)).crossJoin(F.broadcast(orphans))
+    return one_row(s, t, orphans)

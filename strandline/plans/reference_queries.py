@@ -763,7 +763,7 @@ def capacity_projection(spark, folder):
     o = _t(spark, folder, "orders")
     g = profiling.monthly_growth(o, "o_orderdate").agg(F.floor(F.avg("row_count")).cast("bigint").alias("g"))
     n, mb = profiling.project(F.col("rows_now"), F.col("g"), 12, 200)
-    return o.agg(F.count("*").alias("rows_now")).crossJoin(F.broadcast(g)).select("rows_now", n.alias("rows_then"), mb.alias("mb_then"))
+    return reconcile.one_row(o.agg(F.count("*").alias("rows_now")), g).select("rows_now", n.alias("rows_then"), mb.alias("mb_then"))
 
 
 @_query("""SELECT TableName, SourceName, EventType, EventLogId, Status FROM (SELECT *, row_number() OVER (PARTITION BY TableName, SourceName, EventType ORDER BY StartedAt DESC NULLS LAST, EventLogId DESC NULLS LAST) AS rn FROM pipelineeventlog) WHERE rn = 1""")
