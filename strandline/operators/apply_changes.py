@@ -1,10 +1,11 @@
 """Applying a stream of inserts, updates and deletes with delete vectors.
 
-A :class:`ChangeTable` is a set of immutable image files, an index from key to the file and position
-of the change that decides the key, and one bitmap per block of 32,768 positions of a file whose set
+A :class:`ChangeTable` is a set of immutable image files, an index from key and change to the file and
+position of the change's lowest batch, and one bitmap per block of 32,768 positions of a file whose set
 bits mark superseded rows.  A batch of changes never rewrites an image: its rows are appended (or, if
 they lie in Parquet files already, registered in place), the index finds what they supersede, those
-bits are set, and a read drops the marked positions while it scans.
+bits are set, and a read drops the marked positions while it scans.  The index keeps the changes that
+lost too: one of them can be delivered again with a higher batch, which mustn't make it win.
 
 Order: changes apply by (time, batch, change id).  A change is told apart by its id; however often it
 is delivered, in one batch or in several, it counts once, with its lowest batch.
@@ -85,10 +86,10 @@ def _check_file_ids(df: DataFrame) -> None:
 
 
 def _entries(images: DataFrame, c: FeedColumns) -> DataFrame:
-    """Per key, the change among ``images`` that decides it.
+    """Per key and change among ``images``, its delivery with the lowest batch.
 
-    Both steps aggregate before they shuffle, so a key or change id with a third of all rows sends
-    one row per task.
+    The aggregation starts before the shuffle, so a change id with a third of all rows sends one row per
+    task.
     """
     key = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(c.key)]
     names = [f"__k{i}" for i in range(len(c.key))]
@@ -103,35 +104,32 @@ def _entries(images: DataFrame, c: FeedColumns) -> DataFrame:
     ).where(
         " AND ".join(f"{n} IS NOT NULL" for n in [*names, "__change", "__time"]) + " AND __op IN ('I', 'A', 'U', 'R', 'D')"
     )
-    once = rows.groupBy(*names, "__change").agg(F.min(F.struct("__batch", "__file", "__pos", "__time", "__op")).alias("__d"))
-    return once.groupBy(*names).agg(
-        F.max(F.struct("__d.__time", "__d.__batch", "__change", "__d.__op", "__d.__file", "__d.__pos")).alias("__last")
-    )
+    return rows.groupBy(*names, "__change").agg(F.min(F.struct("__batch", "__file", "__pos", "__time", "__op")).alias("__d"))
 
 
 def _merge(old: DataFrame | None, new: DataFrame, names: list[str]) -> DataFrame:
-    """Index after ``new``: a change delivered again keeps its lowest batch, then the last one wins."""
+    """Index after ``new``: a change delivered again keeps its lowest batch."""
     if old is None:
         return new
-    last = F.col("__last")
-    both = old.unionByName(new).select(*names, last)
-    once = both.groupBy(*names, last["__change"].alias("__change")).agg(
-        F.min(F.struct(last["__batch"], last["__file"], last["__pos"], last["__time"], last["__op"])).alias("__d")
-    )
-    return once.groupBy(*names).agg(
+    return old.unionByName(new).groupBy(*names, "__change").agg(F.min("__d").alias("__d"))
+
+
+def _deciding(index: DataFrame, names: list[str]) -> DataFrame:
+    """Per key, the change that decides it; a key with a third of all changes sends one row per task."""
+    return index.groupBy(*names).agg(
         F.max(F.struct("__d.__time", "__d.__batch", "__change", "__d.__op", "__d.__file", "__d.__pos")).alias("__last")
     )
 
 
-def _vectors(images: DataFrame, index: DataFrame) -> DataFrame:
+def _vectors(images: DataFrame, deciding: DataFrame) -> DataFrame:
     """(file, block, bits): a set bit is a row that no longer holds.
 
-    The live positions come from the index, one per key, and are gathered block by block; everything
+    The live positions come from the deciding changes, one per key, and are gathered block by block; everything
     else in a file is superseded.
     """
     last = F.col("__last")
     live = (
-        index.where(last["__op"] != "D")
+        deciding.where(last["__op"] != "D")
         .select(last["__file"].alias("__file"), last["__pos"].alias("__pos"))
         .groupBy("__file", bitmaps.block_of(F.col("__pos")).alias("__block"))
         .agg(bitmaps.collect_bits(F.col("__pos")).alias("__live"))
@@ -152,7 +150,7 @@ def apply_files(spark: SparkSession, table: ChangeTable, paths: list[str]) -> Ch
     index_path, vector_path = new_path(spark, "index"), new_path(spark, "vectors")
     _merge(old, _entries(fresh, table.columns), names).write.parquet(index_path)
     images = (*table.images, *paths)
-    _vectors(_scan(spark, images), spark.read.parquet(index_path)).write.parquet(vector_path)
+    _vectors(_scan(spark, images), _deciding(spark.read.parquet(index_path), names)).write.parquet(vector_path)
     return replace(
         table, images=images, index=index_path, vectors=vector_path, vector_blocks=spark.read.parquet(vector_path).count()
     )

@@ -57,6 +57,21 @@ def test_one_batch_and_several_agree_with_brute_force(spark):
     assert found(spark, again) == want
 
 
+def test_redelivery_with_tied_times_over_several_batches(spark):
+    row = lambda cid, key, op, batch: (cid, key, f"n{cid}", op, T0, batch, "x")
+    batches = [
+        [row(1, 1, "I", 1), row(2, 1, "U", 2), row(11, 2, "D", 1), row(12, 2, "I", 2)],
+        # The losers come again with higher batches; so does one beside a fresh change that it would hide.
+        [row(1, 1, "I", 3), row(11, 2, "D", 5), row(21, 3, "U", 4)],
+        [row(22, 3, "U", 5), row(23, 3, "U", 6)],
+        [row(21, 3, "U", 8), row(22, 3, "U", 9), row(24, 3, "U", 7)],
+    ]
+    table = ChangeTable(ACCOUNT_FEED)
+    for b in batches:
+        table = apply_changes(spark, table, spark.createDataFrame(b, SCHEMA))
+    assert found(spark, table) == {(1, 2), (2, 12), (3, 24)} == brute(sum(batches, []))
+
+
 def test_files_in_place_and_without_broadcast(spark, tmp_path):
     rows = feed(2, 400, 30)
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "f"))
