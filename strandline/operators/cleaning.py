@@ -17,7 +17,8 @@ BLANK = "<BLANK>"
 CONTROL = "[\\t\\n\\r\\x00\\x0B\\x0C\\u0085\\u2028\\u2029]"
 #: What a log line must not show.
 SECRETS = (
-    (r"(?i)([\w_]*password)\s*[=:]\s*\S+", "$1=***"),
+    # What precedes the word stays as it is, so it needn't be matched: that would try every start in every word.
+    (r"(?i)(password)\s*[=:]\s*\S+", "$1=***"),
     (r"(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", "***"),
     (r"(?i)passphrase\s*[=:]\s*\S+", "passphrase=***"),
 )

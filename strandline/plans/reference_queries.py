@@ -364,6 +364,12 @@ def redact_text(spark, folder):
     return d.select("doc_id", cleaning.redact(F.concat(F.lit("user_password = "), "text")).alias("text"))
 
 
+@_query("""SELECT doc_id, regexp_replace('user_password = ' || text, '(?i)([\\w_]*password)\\s*[=:]\\s*\\S+', '\\1=***', 'g') AS text FROM documents""")
+def redact_every_text(spark, folder):
+    d = _t(spark, folder, "documents")
+    return d.select("doc_id", cleaning.redact(F.concat(F.lit("user_password = "), "text")).alias("text"))
+
+
 @_query("""WITH o(name, type) AS (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'), ('o_totalprice', 'double'), ('o_orderpriority', 'string')),
 l(name, type) AS (VALUES ('o_orderkeys', 'bigint'), ('o_custid', 'bigint'), ('o_ordstatus', 'string'), ('o_price', 'double'))
 SELECT o.name AS old_name, l.name AS new_name, CAST(levenshtein(o.name, l.name) AS INTEGER) AS distance FROM o JOIN l USING (type) WHERE levenshtein(o.name, l.name) <= 3""")

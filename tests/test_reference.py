@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 from strandline.functions.hashing import add_row_hash
 from strandline.functions.times import micros, seconds_between
 from strandline.operators import cdc, cleaning, integrity, profiling, reconcile, scd2
+from strandline.plans import reference_queries
 from strandline.sources import readers, sinks, snapshots
 
 
@@ -141,6 +142,14 @@ def test_redact_and_blank(spark):
     assert [r[0] for r in cleaning.coerce_blank_keys(df.where("t IS NULL OR t = ''"), ["t"]).collect()] == [None, "<BLANK>"]
 
 
+def test_redaction_of_every_text(spark, tmp_path):
+    starts = ["plain", "Тайна", "μυστικό", "سر", "राज़", "ลับ", "秘密", "비밀", "\ufeffbom", "“quoted”", "  spaced", "\n\tlines"]
+    rows = [(i, f"{t} rest") for i, t in enumerate(starts)] + [(len(starts), None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["text"] for r in reference_queries.QUERIES["redact_every_text"](spark, str(tmp_path)).collect()}
+    assert got == {i: "user_password=*** rest" for i in range(len(starts))} | {len(starts): None}
+
+
 @pytest.mark.parametrize(
     ("fresh", "base", "over", "want"),
     [(5, 100, None, "BLOCK_DROP"), (10, 100, None, "WARN"), (49, 100, None, "WARN"), (50, 100, None, "OK"), (500, 100, None, "OK"), (501, 100, None, "BLOCK_GROWTH"), (501, 100, 900, "OK"), (7, None, None, "OK"), (11, 0, 10, "BLOCK_CEILING"), (200_000_000, None, None, "BLOCK_CEILING")],
