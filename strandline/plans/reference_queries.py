@@ -260,6 +260,14 @@ def retention_age(spark, folder):
     return scd2.retention(b, b.where("persnbr % 5 = 0"), ["persnbr"], "2026-01-01", 365)
 
 
+@_query("""WITH a AS (SELECT datediff('day', CAST(UdmSourceBeginDate AS DATE), DATE '2026-01-01') AS age FROM pers_bronze WHERE UdmActiveFlag = 1 AND persnbr IS NOT NULL)
+SELECT count(*) FILTER (age <= 365) AS within, count(*) FILTER (age > 365) AS exceeds, count(*) FILTER (age IS NULL) AS unknown,
+  CAST(min(age) AS INTEGER) AS min_age, CAST(max(age) AS INTEGER) AS max_age FROM a""")
+def retention_age_of_all(spark, folder):
+    b = _t(spark, folder, "pers_bronze")
+    return scd2.retention(b, b, ["persnbr"], "2026-01-01", 365)
+
+
 @_query("""SELECT _scd2_key, coalesce(UdmSourceBeginDate, UdmEffectiveDateTime) AS begin_at,
   CASE WHEN UdmActiveFlag = 1 THEN TIMESTAMP '2999-12-31' ELSE UdmEndDateTime END AS end_at,
   CASE UdmActiveFlag WHEN 1 THEN 'I' WHEN 2 THEN 'D' ELSE 'U' END AS op FROM pers_bronze""")
@@ -308,6 +316,12 @@ def deleted_keys(spark, folder):
     return reads.deleted_keys(b, b.where("persnbr % 3 = 0"), ["persnbr"])
 
 
+@_query("SELECT DISTINCT persnbr FROM pers_bronze WHERE UdmActiveFlag = 2 AND persnbr IS NOT NULL")
+def deleted_of_all_keys(spark, folder):
+    b = _t(spark, folder, "pers_bronze")
+    return reads.deleted_keys(b, b, ["persnbr"])
+
+
 # Cleaning -----------------------------------------------------------------------------------------
 
 

@@ -150,6 +150,14 @@ def test_redaction_of_every_text(spark, tmp_path):
     assert got == {i: "user_password=*** rest" for i in range(len(starts))} | {len(starts): None}
 
 
+def test_persons_of_every_number_are_candidates(spark, tmp_path):
+    rows = [(p, flag, datetime(2025, 6, 1)) for p in range(1, 31) for flag in (1, 2)] + [(None, 1, None), (None, 2, None)]
+    spark.createDataFrame(rows, "persnbr bigint, UdmActiveFlag tinyint, UdmSourceBeginDate timestamp_ntz").write.parquet(str(tmp_path / "pers_bronze.parquet"))
+    run = lambda name: reference_queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted(r["persnbr"] for r in run("deleted_of_all_keys")) == list(range(1, 31))
+    assert [tuple(r) for r in run("retention_age_of_all")] == [(30, 0, 0, 214, 214)]
+
+
 @pytest.mark.parametrize(
     ("fresh", "base", "over", "want"),
     [(5, 100, None, "BLOCK_DROP"), (10, 100, None, "WARN"), (49, 100, None, "WARN"), (50, 100, None, "OK"), (500, 100, None, "OK"), (501, 100, None, "BLOCK_GROWTH"), (501, 100, 900, "OK"), (7, None, None, "OK"), (11, 0, 10, "BLOCK_CEILING"), (200_000_000, None, None, "BLOCK_CEILING")],
