@@ -44,11 +44,11 @@ def classify_window(
 
 
 def verify_deletes(
-    changes: DataFrame, source_keys: DataFrame | None, keys: Sequence[str], *, windowed: bool = False, limit: int = 10_000, strict: bool = False
+    changes: DataFrame, source_keys: DataFrame | None, keys: Sequence[str], *, windowed: bool = False, limit: int = 0, strict: bool = False
 ) -> DataFrame:
     """``changes`` without deletes of keys that the source still has.
 
-    Windows aren't verified, nor more deletes than ``limit``; if ``strict``, unverified deletes are
+    Windows aren't verified, nor, where a ``limit`` above 0 is given, more deletes than that; if ``strict``, unverified deletes are
     dropped instead of let through.  ``source_keys`` is None where the source can't be asked.
     """
     dropped = changes.where("change <> 'D'") if strict else changes

@@ -54,6 +54,12 @@ def test_verify_deletes(spark):
     assert ids(cdc.verify_deletes(ch, source, ["id"], windowed=True)) == ids(ch)
 
 
+def test_many_deletes_are_verified_by_default(spark):
+    changes = spark.range(10_001).select("id", F.lit("D").alias("change"))
+    for strict in (False, True):
+        assert cdc.verify_deletes(changes, spark.range(1, 10_001), ["id"], strict=strict).collect() == [(0, "D")]
+
+
 def test_flapping_key(spark):
     states = [{1: "a", 2: "b"}, {1: "a"}, {1: "a", 2: "b"}, {1: "x", 2: "b"}]
     days = [f"2026-0{i + 1}-01" for i in range(4)]
