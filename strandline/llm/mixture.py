@@ -5,7 +5,9 @@ in whole copies, as often as they fit; what is left of the target is one more co
 These are the first in order of their ranking number, the odds of a uniform number divided by the odds
 of the document's inclusion probability, until their tokens reach what is left: a sample of fixed size
 with the given, possibly unequal, probabilities.  Last, one further document, or one in place of a
-sampled one, is taken if that closes the remaining gap better.
+sampled one, is taken if that closes the remaining gap better.  Where a gap of more than two tokens is
+left, the document that crossed the target is passed over: the next ones in rank order that still fit
+are taken first, again and again while any fits, and the try that comes nearest to the target holds.
 
 No source is ever sorted in one task.  The ranking numbers are cut into 4,096 steps and those of one
 step into 4,096 again; sums per step, gathered map-side, tell where the target is reached, and only
@@ -32,10 +34,10 @@ from .tokens import encode_documents
 STEPS = 4096
 #: Plans and sources are broadcast up to this many rows.
 BROADCAST_ROWS = 100_000
+#: Tokens by which a source may miss its target before further documents are tried.
+SLACK = 2
 #: Rounds that settle which documents are certain when weights are unequal.
 ROUNDS = 8
-#: Tokens by which a swap may miss the gap.
-SLACK = 2
 _PAIR = ["plan_id", "source"]
 
 
@@ -101,6 +103,59 @@ def _reach(sums: DataFrame, plans: DataFrame, step: str, left: str) -> DataFrame
     )
 
 
+def _prefix(sampled: DataFrame, goal: DataFrame, small: bool) -> DataFrame:
+    """``goal`` with the place up to which ``sampled`` fits into what is left in rank order, and the gap after it."""
+    coarse = _reach(sampled.groupBy(*_PAIR, "step").agg(F.sum("tokens").alias("tokens")), goal, "step", "left")
+    first = _written(
+        goal.join(coarse, _PAIR, "left").select(
+            *_PAIR, "left", "open", F.coalesce("last", F.lit(-1)).alias("c"), F.col("next").alias("cross"), (F.col("left") - F.coalesce("before", F.lit(0))).alias("left1")
+        ),
+        small,
+    )
+    inner = sampled.join(first, _PAIR).where("step = cross")
+    fine = _reach(inner.groupBy(*_PAIR, "fine").agg(F.sum("tokens").alias("tokens")), first, "fine", "left1")
+    second = _written(
+        first.join(fine, _PAIR, "left").select(
+            *_PAIR, "left", "open", "c", "cross", F.coalesce("last", F.lit(-1)).alias("f"), F.col("next").alias("fcross"), (F.col("left1") - F.coalesce("before", F.lit(0))).alias("left2")
+        ),
+        small,
+    )
+    order = Window.partitionBy(*_PAIR).orderBy("place", "doc_id")
+    last = sampled.join(second, _PAIR).where("step = cross AND fine = fcross")
+    last = last.withColumn("upto", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("upto <= left2")
+    ends = last.groupBy(*_PAIR).agg(F.max(F.struct("place", "doc_id")).alias("end"), F.max("upto").alias("upto"))
+    return _written(
+        second.join(ends, _PAIR, "left").select(*_PAIR, "left", "open", "c", "cross", "f", "fcross", "end", (F.col("left2") - F.coalesce("upto", F.lit(0))).alias("gap")),
+        small,
+    )
+
+
+def _close(marked: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Per plan and source: the gap, the tokens by which the best end misses the target, the document more
+    and the one it replaces (null if there is none), and the least size that is free.
+
+    Sizes stand for documents, so what is sorted is at most as long as the longest document.
+    """
+    rows = marked.where("place IS NOT NULL").join(gaps, _PAIR)
+    free = rows.where("taken_in IS NULL").groupBy(*_PAIR, "gap", "tokens").agg(F.min(F.struct("place", "doc_id")).alias("y"))
+    held = rows.where("taken_in IS NOT NULL").groupBy(*_PAIR, "gap", "tokens").agg(F.max(F.struct("place", "doc_id")).alias("x"))
+    error = F.abs(F.col("gap") - F.col("tokens"))
+    one_more = free.select(*_PAIR, "gap", error.alias("off"), F.lit(0).alias("swap"), F.col("y.doc_id").alias("fill"), F.lit(None).alias("drop"))
+    # The nearest size on either side of the one that a held document would have to be replaced by.
+    there = free.select(*_PAIR, "gap", F.col("tokens").cast("double").alias("at"), F.struct("tokens", F.col("y.doc_id").alias("doc_id")).alias("f"), F.lit(None).alias("less"), F.lit(None).alias("drop"))
+    wanted = held.select(*_PAIR, "gap", (F.col("tokens") + F.col("gap")).alias("at"), F.lit(None).alias("f"), F.col("tokens").alias("less"), F.col("x.doc_id").alias("drop"))
+    seen = [F.last("f", ignorenulls=True).over(Window.partitionBy(*_PAIR).orderBy(o).rangeBetween(Window.unboundedPreceding, 0)) for o in (F.asc("at"), F.desc("at"))]
+    near = there.unionByName(wanted).select(*_PAIR, "gap", "less", "drop", F.array(*seen).alias("near")).where("less IS NOT NULL")
+    swaps = near.select(*_PAIR, "gap", "less", "drop", F.explode("near").alias("f")).where("f IS NOT NULL").select(
+        *_PAIR, "gap", F.abs(F.col("gap") - (F.col("f.tokens") - F.col("less"))).alias("off"), F.lit(1).alias("swap"), F.col("f.doc_id").alias("fill"), "drop"
+    )
+    best = one_more.unionByName(swaps).where("off < gap").groupBy(*_PAIR).agg(F.min(F.struct("off", "swap", "fill", "drop")).alias("b"))
+    least = free.groupBy(*_PAIR).agg(F.min("tokens").alias("least"))
+    return gaps.join(best, _PAIR, "left").join(least, _PAIR, "left").select(
+        *_PAIR, "gap", F.coalesce("b.off", "gap").alias("off"), F.col("b.fill").alias("fill"), F.col("b.drop").alias("drop"), "least"
+    )
+
+
 def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(plan_id, source, doc_id, tokens, uses) of the chosen documents, and the allocation.
 
@@ -125,52 +180,26 @@ def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: s
         .withColumn("at", F.floor(F.col("place") * (STEPS * STEPS)).cast("bigint"))
         .select(*_PAIR, "doc_id", "tokens", "whole", "place", F.shiftright("at", 12).alias("step"), F.col("at").bitwiseAND(F.lit(STEPS - 1).cast("bigint")).alias("fine"))
     )
-    sampled = ranked.where("place IS NOT NULL")
-    coarse = _reach(sampled.groupBy(*_PAIR, "step").agg(F.sum("tokens").alias("tokens")), plans, "step", "left")
-    first = _written(
-        plans.select(*_PAIR, "left").join(coarse, _PAIR, "left").select(
-            *_PAIR, F.coalesce("last", F.lit(-1)).alias("c"), F.col("next").alias("cross"), (F.col("left") - F.coalesce("before", F.lit(0))).alias("left1")
-        ),
-        small,
-    )
-    inner = sampled.join(first, _PAIR).where("step = cross")
-    fine = _reach(inner.groupBy(*_PAIR, "fine").agg(F.sum("tokens").alias("tokens")), first, "fine", "left1")
-    second = _written(
-        first.join(fine, _PAIR, "left").select(
-            *_PAIR, "c", "cross", F.coalesce("last", F.lit(-1)).alias("f"), F.col("next").alias("fcross"), (F.col("left1") - F.coalesce("before", F.lit(0))).alias("left2")
-        ),
-        small,
-    )
-    order = Window.partitionBy(*_PAIR).orderBy("place", "doc_id")
-    last = sampled.join(second, _PAIR).where("step = cross AND fine = fcross")
-    last = last.withColumn("upto", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("upto <= left2")
-    ends = last.groupBy(*_PAIR).agg(F.max(F.struct("place", "doc_id")).alias("end"), F.max("upto").alias("upto"))
-    third = _written(
-        second.join(ends, _PAIR, "left").select(*_PAIR, "c", "cross", "f", "fcross", "end", (F.col("left2") - F.coalesce("upto", F.lit(0))).alias("gap")),
-        small,
-    )
-    taken = (
-        (F.col("step") <= F.col("c"))
-        | ((F.col("step") == F.col("cross")) & (F.col("fine") <= F.col("f")))
-        | ((F.col("step") == F.col("cross")) & (F.col("fine") == F.col("fcross")) & F.coalesce(F.struct("place", "doc_id") <= F.col("end"), F.lit(False)))
-    )
-    marked = ranked.join(third, _PAIR).withColumn("extra", F.coalesce(taken, F.lit(False)))
-    # The gap is closed by one more document, or by one in place of another; sizes stand for documents.
-    free = marked.where("NOT extra AND place IS NOT NULL").groupBy(*_PAIR, "gap", "tokens").agg(F.min(F.struct("place", "doc_id")).alias("y"))
-    held = marked.where("extra").groupBy(*_PAIR, "gap", "tokens").agg(F.max(F.struct("place", "doc_id")).alias("x"))
-    error = F.abs(F.col("gap") - F.col("tokens"))
-    one_more = free.select(*_PAIR, "gap", error.alias("off"), F.lit(0).alias("swap"), F.col("y.doc_id").alias("fill"), F.lit(None).cast("bigint").alias("drop"))
-    near = F.explode(F.array(*[F.lit(d).cast("bigint") for d in range(-SLACK, SLACK + 1)]))
-    wanted = held.select(*_PAIR, "gap", "x", F.col("tokens").alias("less"), near.alias("d")).withColumn(
-        "tokens", F.col("less") + F.round("gap").cast("bigint") + F.col("d")
-    )
-    gain = F.col("tokens") - F.col("less")
-    swaps = wanted.join(free.drop("gap"), [*_PAIR, "tokens"]).select(
-        *_PAIR, "gap", F.abs(F.col("gap") - gain).alias("off"), F.lit(1).alias("swap"), F.col("y.doc_id").alias("fill"), F.col("x.doc_id").alias("drop")
-    )
-    best = one_more.unionByName(swaps).where("off < gap").groupBy(*_PAIR).agg(F.min(F.struct("off", "swap", "fill", "drop")).alias("b"))
-    filler = _written(best.select(*_PAIR, "b.fill", "b.drop"), small)
-    kept = F.col("extra") & F.coalesce(F.col("doc_id") != F.col("drop"), F.lit(True))
+    marked = ranked.withColumn("taken_in", F.lit(None).cast("int"))
+    goal, passes = plans.select(*_PAIR, "left", F.lit(True).alias("open")), []
+    while not passes or goal.where("open").limit(1).count():
+        fits = F.col("place").isNotNull() & F.col("taken_in").isNull() & F.col("open") & (F.lit(not passes) | (F.col("tokens") <= F.col("left")))
+        ends = _prefix(marked.join(goal, _PAIR).where(fits).drop("left", "open"), goal, small)
+        taken = (
+            (F.col("step") <= F.col("c"))
+            | ((F.col("step") == F.col("cross")) & (F.col("fine") <= F.col("f")))
+            | ((F.col("step") == F.col("cross")) & (F.col("fine") == F.col("fcross")) & F.coalesce(F.struct("place", "doc_id") <= F.col("end"), F.lit(False)))
+        )
+        marked = marked.join(ends, _PAIR).withColumn("taken_in", F.when(fits & taken, len(passes)).otherwise(F.col("taken_in"))).select(*ranked.columns, "taken_in")
+        closed = _written(_close(marked, ends.select(*_PAIR, "gap")).withColumn("pass", F.lit(len(passes))), small)
+        passes.append(closed)
+        goal = closed.select(*_PAIR, F.col("gap").alias("left"), F.coalesce((F.col("off") > SLACK) & (F.col("least") <= F.col("gap")), F.lit(False)).alias("open"))
+    tried = passes[0]
+    for other in passes[1:]:
+        tried = tried.unionByName(other)
+    best = tried.groupBy(*_PAIR).agg(F.min(F.struct("off", "pass", "fill", "drop")).alias("b"))
+    filler = _written(best.select(*_PAIR, "b.pass", "b.fill", "b.drop"), small)
+    kept = F.coalesce(F.col("taken_in") <= F.col("pass"), F.lit(False)) & F.coalesce(F.col("doc_id") != F.col("drop"), F.lit(True))
     uses = F.col("whole") + (kept | F.coalesce(F.col("doc_id") == F.col("fill"), F.lit(False))).cast("int")
     chosen = marked.join(filler, _PAIR, "left").select(*_PAIR, "doc_id", "tokens", uses.alias("uses")).where("uses > 0")
     return chosen, plans

@@ -42,6 +42,17 @@ def test_shares_and_limits(spark):
     assert again == {(r["plan_id"], r["doc_id"], r["uses"]) for r in got}
 
 
+def test_a_long_document_at_the_target_leaves_no_gap(spark):
+    # A document of 9,000 tokens crosses the target early; short documents that fit are left.
+    rows = [(i, "a", 9000) for i in range(8)] + [(100 + i, "a", 1 + i * 7 % 60) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint")
+    total = sum(r[2] for r in rows)
+    for seed in range(2):
+        got = mx.choose(df, spark.createDataFrame([(1, "a", 0.05, 1, 1.0)], TARGETS), seed=seed)[0].collect()
+        assert len({r["doc_id"] for r in got}) == len(got)
+        assert abs(sum(r["tokens"] * r["uses"] for r in got) - 0.05 * total) <= 3, seed
+
+
 def test_unequal_weights(spark):
     df, rows = sizes(spark, 2)
     df = df.selectExpr("*", "CASE WHEN doc_id % 2 = 0 THEN 4.0 ELSE 1.0 END AS w")
