@@ -219,10 +219,13 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     space1 = t["white"][c1] & (f0 + 1 < l0)
     bullet = t["bullet"][c0] & space1
     number = np.zeros(len(s), bool)
+    marker_end = f0 + 1
     run = (c0 >= 48) & (c0 <= 57)
     for k in (1, 2, 3):
         x, y = u[np.minimum(f0 + k, n - 1)], u[np.minimum(f0 + k + 1, n - 1)]
-        number |= run & ((x == ord(".")) | (x == ord(")"))) & t["white"][y] & (f0 + k + 1 < l0)
+        here = run & ((x == ord(".")) | (x == ord(")"))) & t["white"][y] & (f0 + k + 1 < l0)
+        number |= here
+        marker_end = np.where(here, f0 + k, marker_end)
         run &= (x >= 48) & (x <= 57)
     number |= t["letter"][c0] & (c1 == ord(")")) & t["white"][u[np.minimum(f0 + 2, n - 1)]]
     head = has & spoken & ~log & t["head"][c0]
@@ -253,8 +256,7 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     whole[zone[alone | ~spoken] - 1] = True
     marker_zone = zone[item] - 1
     skip = np.full(len(starts), -1, np.int64)
-    far = f0[item] + 5
-    skip[marker_zone] = np.where(bullet[item], f0[item] + 1, far)
+    skip[marker_zone] = marker_end[item]
 
     opened, closed = _pairs(u, per_char)
     # Marks: the last of a run, followed by what may belong to it.
@@ -267,14 +269,8 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         inside = (j >= 0) & (i < closed[np.maximum(j, 0)])
         i = i[~inside]
     i = i[~whole[per_char[i]]]
+    # Marks inside an item's marker don't count.
     i = i[i > skip[per_char[i]]] if len(i) else i
-    # Marks inside an item's marker don't count: the marker is a number, a mark and a space.
-    in_marker = np.zeros(len(i), bool)
-    if item.any() and len(i):
-        z = per_char[i]
-        at_item = np.isin(z, marker_zone)
-        in_marker = at_item & (i <= skip[z]) & t["digit"][u[np.maximum(i - 1, 0)]]
-    i = i[~in_marker]
     # Closing marks right after belong to the sentence, unless they open something.
     nxt = i + 1
     pair_open = np.zeros(n + 1, bool)

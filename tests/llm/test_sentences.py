@@ -61,6 +61,15 @@ def test_structure():
     ]
 
 
+@pytest.mark.parametrize("parts", [["1. OK.", "Next step."], ["2) No!", "Retry."], ["a) No!", "Retry."], ["12. OK.", "Next step."], ["123) No!", "Retry."]])
+def test_short_first_sentence_of_an_item(parts):
+    assert split("Steps:\n" + " ".join(parts)) == ["Steps:", *parts]
+
+
+def test_short_first_sentence_of_an_item_without_spaces():
+    assert split("步骤：\n1. 完了。次へ。") == ["步骤：", "1. 完了。", "次へ。"]
+
+
 @pytest.mark.parametrize("text", ["", " ", "\n\n", "....", "﻿", "!?", "-----\n***", "   \r\n\t"])
 def test_nothing(text):
     assert split(text) == []
