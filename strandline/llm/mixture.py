@@ -36,8 +36,6 @@ STEPS = 4096
 BROADCAST_ROWS = 100_000
 #: Tokens by which a source may miss its target before further documents are tried.
 SLACK = 2
-#: Rounds that settle which documents are certain when weights are unequal.
-ROUNDS = 8
 _PAIR = ["plan_id", "source"]
 
 
@@ -81,16 +79,24 @@ def allocate(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def _solve(rows: DataFrame, plans: DataFrame, small: bool) -> DataFrame:
-    """The scale at which min(1, scale * weight) gives the wanted tokens, where weights are unequal."""
-    for _ in range(ROUNDS):
+    """The scale at which min(1, scale * weight) gives the wanted tokens, where weights are unequal.
+
+    From scale 0 on, the set of certain documents only grows; the scale holds once it grows no more.
+    """
+    plans, settled, before = plans.withColumn("scale", F.lit(0.0)), False, -1
+    while not settled:
         certain = F.col("scale") * F.col("w") >= 1
         sums = rows.join(plans.select(*_PAIR, "scale"), _PAIR).groupBy(*_PAIR).agg(
             F.sum(F.when(certain, F.col("tokens")).otherwise(0)).alias("sure"),
             F.sum(F.when(~certain, F.col("tokens") * F.col("w")).otherwise(0.0)).alias("free"),
+            F.count_if(certain).alias("certain"),
         )
         nxt = F.when(F.col("free") > 0, (F.col("left") - F.col("sure")) / F.col("free")).otherwise(F.col("scale"))
-        plans = _written(plans.join(sums, _PAIR, "left").withColumn("scale", F.coalesce(F.greatest(nxt, F.lit(0.0)), "scale")).drop("sure", "free"), small)
-    return plans
+        # No scale is below an earlier one but by rounding.
+        plans = _written(plans.drop("certain").join(sums, _PAIR, "left").withColumn("scale", F.greatest(nxt, "scale")).drop("sure", "free"), small)
+        now = plans.agg(F.sum("certain").alias("n")).first()["n"] or 0
+        settled, before = now <= before, now
+    return plans.drop("certain")
 
 
 def _reach(sums: DataFrame, plans: DataFrame, step: str, left: str) -> DataFrame:

@@ -64,6 +64,14 @@ def test_unequal_weights(spark):
     assert even > 2 * (len(chosen) - even)
 
 
+def test_scale_of_very_unequal_weights(spark):
+    rows = [(i, 1, "a", 10, 4.0**i) for i in range(41)]
+    df = spark.createDataFrame(rows, "doc_id bigint, plan_id int, source string, tokens bigint, w double")
+    plans = spark.createDataFrame([(1, "a", 205.0, 0.5)], "plan_id int, source string, left double, scale double")
+    scale = mx._solve(df, plans, True).first()["scale"]
+    assert sum(t * min(1.0, scale * w) for _, _, _, t, w in rows) == pytest.approx(205)
+
+
 def test_equal_chances(spark):
     df, rows = sizes(spark, 3, 400)
     target = spark.createDataFrame([(1, "big", 0.2, 1, 1.0)], TARGETS)
