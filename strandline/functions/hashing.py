@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -47,11 +48,23 @@ def hash_text(col: Column, kind: T.DataType, *, empty_as_null: bool = False, por
 
 
 def hashed_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    """Columns that count: none that begins with an underscore or is excluded; unknown names are ignored."""
+    """Columns that count: none that begins with an underscore or is excluded; unknown names give a warning."""
     left_out = set(exclude)
+    if unknown := sorted(left_out - set(df.columns)):
+        warnings.warn(f"no such columns to leave out of the hash: {', '.join(unknown)}", stacklevel=3)
     return [c for c in df.columns if not c.startswith("_") and c not in left_out]
 
 
+def rewrite_strings(df: DataFrame, *, empty_as_null: bool = False) -> DataFrame:
+    """``df`` with its strings stored as they are hashed: NFC without trailing spaces, '' as null if asked."""
+    out = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType) and not f.name.startswith("_"):
+            col = F.col(f"`{f.name}`")
+            out[f.name] = F.rtrim(nfc(F.when(col == "", None).otherwise(col) if empty_as_null else col))
+    return df.withColumns(out) if out else df
+
+
 def row_hash(df: DataFrame, exclude: Iterable[str] = (), *, empty_as_null: bool = False, portable: bool = False) -> Column:
     """SHA-256 of the row's columns in their order, as 64 hex digits."""
     texts = [

@@ -3,7 +3,7 @@
 One full outer join on the key classifies everything in a single shuffle.  A key that is only stored
 is a delete, one that is only fresh an insert; a changed hash, or one that is null on either side, is
 an update.  Keys must be unique and whole; :mod:`cleaning` makes them so.  An empty arrival gives no
-deletes.
+deletes: it is taken for a failed extract unless the caller says that the source may be empty.
 """
 
 from __future__ import annotations
@@ -12,13 +12,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .cleaning import add_cdc_columns, keep_first
+from .cleaning import add_cdc_columns, keep_first, one_row
 
 HASH = "_row_hash"
 
 
-def classify(existing: DataFrame, fresh: DataFrame, keys: Sequence[str], hash_column: str = HASH) -> DataFrame:
-    """(keys, change): I, U, D or S (same)."""
+def classify(existing: DataFrame, fresh: DataFrame, keys: Sequence[str], hash_column: str = HASH, *, may_be_empty: bool = False) -> DataFrame:
+    """(keys, change): I, U, D or S (same); no rows at all if nothing arrived, unless it ``may_be_empty``."""
+    if not may_be_empty and fresh.isEmpty():
+        existing = existing.limit(0)
     e = existing.select(*keys, F.col(hash_column).alias("__eh"), F.lit(True).alias("__e"))
     f = fresh.select(*keys, F.col(hash_column).alias("__fh"), F.lit(True).alias("__f"))
     changed = F.coalesce(F.col("__eh") != F.col("__fh"), F.lit(True))
@@ -27,20 +29,26 @@ def classify(existing: DataFrame, fresh: DataFrame, keys: Sequence[str], hash_co
 
 
 def change_counts(changes: DataFrame) -> DataFrame:
-    """One row: inserts, updates, deletes, unchanged, and whether they add up to the arrival."""
+    """One row: inserts, updates, deletes, unchanged."""
     n = {"inserts": "I", "updates": "U", "deletes": "D", "unchanged": "S"}
     return changes.agg(*[F.count_if(F.col("change") == v).alias(k) for k, v in n.items()])
 
 
+def counts_hold(changes: DataFrame, fresh: DataFrame) -> DataFrame:
+    """One row: rows that arrived, rows classified as inserted, updated or unchanged, and whether they agree."""
+    n = one_row(fresh.agg(F.count("*").alias("arrived")), changes.agg(F.count_if(F.col("change") != "D").alias("classified")))
+    return n.withColumn("holds", F.col("arrived") == F.col("classified"))
+
+
 def classify_window(
-    existing: DataFrame, fresh: DataFrame, keys: Sequence[str], date_column: str, start: str, end: str, hash_column: str = HASH
+    existing: DataFrame, fresh: DataFrame, keys: Sequence[str], date_column: str, start: str, end: str, hash_column: str = HASH, *, may_be_empty: bool = False
 ) -> DataFrame:
     """As :func:`classify`, inside the half-open window only: stored rows outside are never deletes."""
 
     def inside(df: DataFrame) -> DataFrame:
         return df.where((F.col(date_column) >= F.lit(start).cast("timestamp_ntz")) & (F.col(date_column) < F.lit(end).cast("timestamp_ntz")))
 
-    return classify(inside(existing), inside(fresh), keys, hash_column)
+    return classify(inside(existing), inside(fresh), keys, hash_column, may_be_empty=may_be_empty)
 
 
 def verify_deletes(
@@ -63,16 +71,24 @@ def verify_deletes(
     return changes.where("change <> 'D'").unionByName(gone)
 
 
+def split_deletes(changes: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, still_there) of every delete: whether the source still has the key."""
+    there = source_keys.select(*keys).distinct().withColumn("__t", F.lit(True))
+    return changes.where("change = 'D'").join(there, list(keys), "left").select(*keys, F.col("__t").isNotNull().alias("still_there"))
+
+
 def stage_current(stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The current row of each key; of several, the latest by time, batch and hash."""
     order = [F.col("_cdc_valid_from").desc_nulls_last(), F.col("_cdc_batch_id").desc_nulls_last(), F.col(HASH).desc_nulls_last()]
     return keep_first(stage.where("_cdc_is_current = 1"), keys, order)
 
 
-def apply_to_stage(stage: DataFrame, fresh: DataFrame, keys: Sequence[str], at: str, batch_id: int, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def apply_to_stage(
+    stage: DataFrame, fresh: DataFrame, keys: Sequence[str], at: str, batch_id: int, verify: Callable[[DataFrame], DataFrame] | None = None, *, may_be_empty: bool = False
+) -> DataFrame:
     """The change log after an arrival: new and changed rows are appended, what they replace and what
     is gone is expired.  A removed key leaves no row of its own; a key that comes back is an insert."""
-    changes = classify(stage_current(stage, keys), fresh, keys)
+    changes = classify(stage_current(stage, keys), fresh, keys, may_be_empty=may_be_empty)
     if verify:
         changes = verify(changes)
     ending = changes.where("change IN ('U', 'D')").select(*keys, F.lit(True).alias("__end"))

@@ -49,6 +49,22 @@ def null_key_report(df: DataFrame, keys: Sequence[str], error_above: float = 0.0
     return counts.withColumn("level", level.otherwise("WARN"))
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """The columns of several one-row frames in one row."""
+    names = [c for f in frames for c in f.columns]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).agg(*[F.max(c).alias(c) for c in names])
+
+
+def union_of_keys(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """(keys) that any of the frames has, once each; repeats are dropped before the shuffle."""
+    return reduce(DataFrame.unionByName, [f.select(*keys) for f in frames]).distinct()
+
+
+def key_literal(keys: Sequence[str], between: str = "|") -> Column:
+    """A key as one text, for samples and messages; null parts are empty."""
+    return F.concat_ws(between, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+
+
 def parse_order(spec: str | None) -> list[tuple[str, bool]]:
     """``"a, b ASC"`` as [(column, ascending)]; the default is descending."""
     out = []
@@ -127,6 +143,11 @@ def blank_far_dates(df: DataFrame, columns: Sequence[str], limit: str = "9999-01
     return df.withColumns({c: F.when(F.col(c) < F.lit(limit).cast("date"), F.col(c)) for c in columns})
 
 
+def add_extracted_at(df: DataFrame, at: str, name: str = "_extracted_at") -> DataFrame:
+    """``df`` with the time of its extraction, the same for all rows."""
+    return df.withColumn(name, F.lit(at).cast("timestamp_ntz"))
+
+
 def add_cdc_columns(df: DataFrame, operation: str | Column, valid_from: str, batch_id: int) -> DataFrame:
     """``df`` with the change log's columns, open and current."""
     op = F.lit(operation) if isinstance(operation, str) else operation
@@ -158,12 +179,14 @@ def contract(df: DataFrame, expected: Sequence[str]) -> tuple[list[str], list[st
     return [c for c in expected if c not in have], [c for c in have if c not in expected]
 
 
-def reorder(df: DataFrame, target: Sequence[str], fill: Sequence[str] = ()) -> DataFrame:
-    """The target's columns in its order; those in ``fill`` may be missing and are null then."""
+def reorder(df: DataFrame, target: Sequence[str], fill: Sequence[str] = (), kinds: T.StructType | None = None) -> DataFrame:
+    """The target's columns in its order; those in ``fill`` may be missing and are null then, of the type
+    that ``kinds`` gives, else text."""
     missing = [c for c in target if c not in df.columns and c not in fill]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in target])
+    kind = {f.name: f.dataType for f in (kinds or [])}
+    return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kind.get(c, T.StringType())).alias(c) for c in target])
 
 
 _RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}

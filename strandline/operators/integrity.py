@@ -1,13 +1,19 @@
-"""Checks and repairs of a Type-2 history.  Checks return counts in one row, or the offending keys."""
+"""Checks and repairs of a Type-2 history.  Checks return counts in one row, or the offending keys.
+
+Checks that compare a version with those before it run in chunks of time (see :mod:`ordered`), so a key
+with a third of all versions is checked by many tasks.  Versions without key or begin aren't compared.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import seconds_between
 from .cleaning import keep_first
+from .ordered import running
 from .scd2 import SENTINEL, in_flight
 
 FLAGS, OPERATIONS = (0, 1, 2), ("I", "U", "R", "D")
@@ -17,51 +23,50 @@ def _ts(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def overlapping(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
+def overlapping(bronze: DataFrame, keys: Sequence[str], chunk: str = "month") -> DataFrame:
     """Keys with versions whose load intervals overlap.
 
     Ends don't precede begins on this axis, so a version overlaps an earlier one exactly if it begins
-    before the latest end so far: one sort per key instead of a self join.
+    before the latest end so far: one order per key instead of a self join.
     """
     end = F.coalesce("UdmEndDateTime", _ts("9999-12-31"))
-    w = Window.partitionBy(*keys).orderBy("UdmEffectiveDateTime", end).rowsBetween(Window.unboundedPreceding, -1)
-    rows = bronze.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).select(*keys, "UdmEffectiveDateTime", "UdmEndDateTime")
-    return rows.withColumn("__last", F.max(end).over(w)).where(F.col("UdmEffectiveDateTime") < F.col("__last")).select(*keys).distinct()
+    rows = bronze.select(*keys, F.col("UdmEffectiveDateTime").alias("__at"), end.alias("__end"))
+    seen = running(rows, keys, "__at", [F.col("__at"), F.col("__end")], {"__last": ("max", F.col("__end"))}, chunk)
+    return seen.where(F.col("__at") < F.col("__last")).select(*keys).distinct()
 
 
-def business_overlapping(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
+def business_overlapping(bronze: DataFrame, keys: Sequence[str], chunk: str = "month") -> DataFrame:
     """Keys with versions whose business intervals overlap; ends may precede begins here.
 
     Two intervals overlap if each begins before the other ends.  Forward intervals are sorted by begin:
     one overlaps an earlier one if it begins before the largest end so far.  A backward (or empty) one
     overlaps just those forward ones that begin before its end and end after its begin: placed at its
     end among the others' begins, it needs the largest end so far to be after its own begin.  Two
-    backward ones never overlap.  Both are one sort per key; no pairs are formed.
+    backward ones never overlap.  Both are one order per key; no pairs are formed.
     """
     rows = bronze.select(*keys, F.col("UdmSourceBeginDate").alias("b"), F.col("UdmSourceEndDate").alias("e")).where("b IS NOT NULL AND e IS NOT NULL")
-    rows = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
     forward = F.col("b") < F.col("e")
     placed = rows.withColumns({"at": F.least("b", "e"), "fwd": forward.cast("int")})
-    w = Window.partitionBy(*keys).orderBy("at", "fwd").rowsBetween(Window.unboundedPreceding, -1)
-    run = placed.withColumn("reach", F.max(F.when(forward, F.col("e"))).over(w))
+    run = running(placed, keys, "at", [F.col("at"), F.col("fwd")], {"reach": ("max", F.when(forward, F.col("e")))}, chunk)
     return run.where(F.col("b") < F.col("reach")).select(*keys).distinct()
 
 
-def version_gaps(bronze: DataFrame, keys: Sequence[str], above: int = 1) -> DataFrame:
+def version_gaps(bronze: DataFrame, keys: Sequence[str], above: int = 1, chunk: str = "month") -> DataFrame:
     """(keys, gaps): load-time gaps of more than a second between versions that follow each other."""
-    w = Window.partitionBy(*keys).orderBy("UdmEffectiveDateTime", "_scd2_key")
-    last = F.lag(F.coalesce("UdmEndDateTime", _ts("9999-12-31"))).over(w)
-    rows = bronze.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).withColumn("__last", last)
+    end = F.coalesce("UdmEndDateTime", _ts("9999-12-31"))
+    rows = bronze.select(*keys, "UdmEffectiveDateTime", "_scd2_key", end.alias("__end"))
+    seen = running(rows, keys, "UdmEffectiveDateTime", [F.col("UdmEffectiveDateTime"), F.col("_scd2_key")], {"__last": ("last", F.col("__end"))}, chunk)
     gap = seconds_between(F.col("__last"), F.col("UdmEffectiveDateTime")) > above
-    return rows.where(F.col("__last").isNotNull() & gap).groupBy(*keys).agg(F.count("*").alias("gaps"))
+    return seen.where(F.col("__last").isNotNull() & gap).groupBy(*keys).agg(F.count("*").alias("gaps"))
 
 
-def business_gaps(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
+def business_gaps(bronze: DataFrame, keys: Sequence[str], chunk: str = "month") -> DataFrame:
     """(keys, gaps): business gaps of more than a day after an end below the sentinel."""
-    w = Window.partitionBy(*keys).orderBy("UdmSourceBeginDate", "_scd2_key")
-    rows = bronze.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).withColumn("__last", F.lag("UdmSourceEndDate").over(w))
+    rows = bronze.select(*keys, "UdmSourceBeginDate", "_scd2_key", F.struct("UdmSourceEndDate").alias("__end"))
+    order = [F.col("UdmSourceBeginDate"), F.col("_scd2_key")]
+    seen = running(rows, keys, "UdmSourceBeginDate", order, {"__before": ("last", F.col("__end"))}, chunk).withColumn("__last", F.col("__before.UdmSourceEndDate"))
     gap = F.datediff(F.col("UdmSourceBeginDate").cast("date"), F.col("__last").cast("date")) > 1
-    return rows.where((F.col("__last") < _ts(SENTINEL)) & gap).groupBy(*keys).agg(F.count("*").alias("gaps"))
+    return seen.where((F.col("__last") < _ts(SENTINEL)) & gap).groupBy(*keys).agg(F.count("*").alias("gaps"))
 
 
 def flag_checks(bronze: DataFrame) -> DataFrame:
@@ -113,21 +118,24 @@ def repair_sentinel(bronze: DataFrame) -> DataFrame:
 
 
 def repair_duplicate_active(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All active versions but the latest are closed when that one began; business end the day before."""
-    w = Window.partitionBy(*keys).orderBy(F.col("UdmEffectiveDateTime").desc_nulls_last(), F.col("_scd2_key").desc())
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    """All active versions but the latest are closed when that one began; business end the day before.
+
+    The latest of each key is an aggregate, combined map-side, and is joined back; no key is sorted.
+    Null is a key like any other here; of equal load times the highest surrogate key is the latest.
+    """
     live = bronze.where("UdmActiveFlag = 1")
-    ranked = live.withColumns(
-        {"__rn": F.row_number().over(w), "__eff": F.first("UdmEffectiveDateTime").over(whole), "__src": F.first("UdmSourceBeginDate").over(whole)}
-    )
-    old = F.col("__rn") > 1
+    names = [f"__l{i}" for i in range(len(keys))]
+    latest = live.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.max(F.struct("UdmEffectiveDateTime", "_scd2_key", "UdmSourceBeginDate")).alias("__l"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)])
+    ranked = live.join(latest, same).withColumns({"__eff": F.col("__l.UdmEffectiveDateTime"), "__src": F.col("__l.UdmSourceBeginDate")})
+    old = ~F.col("_scd2_key").eqNullSafe(F.col("__l._scd2_key"))
     fixed = ranked.withColumns(
         {
             "UdmActiveFlag": F.when(old, 0).otherwise(F.col("UdmActiveFlag")).cast("tinyint"),
             "UdmEndDateTime": F.when(old, F.col("__eff")).otherwise(F.col("UdmEndDateTime")),
             "UdmSourceEndDate": F.when(old, F.col("__src") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("UdmSourceEndDate")),
         }
-    ).drop("__rn", "__eff", "__src")
+    ).drop("__l", *names, "__eff", "__src")
     return bronze.where("UdmActiveFlag <> 1 OR UdmActiveFlag IS NULL").unionByName(fixed)
 
 
@@ -207,26 +215,33 @@ def fk_orphans(facts: DataFrame, dimension: DataFrame, fact_key: str, key: str)
     return facts.where(F.col(fact_key).isNotNull()).join(dim, F.col(fact_key) == F.col("__k"), "left_anti")
 
 
-def _valid(fact_key: str, key: str, at: str) -> Column:
-    return (
-        (F.col(fact_key) == F.col("__k"))
-        & (F.col("__b") <= F.col(at))
-        & (F.col("__e").isNull() | (F.col(at) < F.col("__e")))
-    )
-
+def versions_at(facts: DataFrame, dimension: DataFrame, fact_key: str, key: str, at: str, chunk: str = "month") -> DataFrame:
+    """Facts with the number ``__n`` of versions of their key that are valid at their time (begin <= time < end).
 
-def _dimension(dimension: DataFrame, key: str) -> DataFrame:
-    return dimension.select(F.col(key).alias("__k"), F.col("UdmEffectiveDateTime").alias("__b"), F.col("UdmEndDateTime").alias("__e"))
+    That is the number of begins so far less the number of ends so far, so begins, ends and facts are laid in one
+    order and counted along it, in chunks of time: no pair is formed.  An end before its begin counts
+    from the begin on.  Facts without key or time have none; an end that is null never comes.
+    """
+    body = F.struct(*[F.col(f"`{c}`").alias(c) for c in facts.columns])
+    begin, end = F.col("UdmEffectiveDateTime").cast("timestamp_ntz"), F.col("UdmEndDateTime").cast("timestamp_ntz")
+    f = facts.select(F.col(fact_key).alias("__k"), F.col(at).cast("timestamp_ntz").alias("__t"), F.lit(1).alias("__kind"), F.lit(0).alias("__step"), body.alias("__f"))
+    steps = F.array(F.struct(begin.alias("t"), F.lit(1).alias("s")), F.struct(F.when(end.isNotNull(), F.greatest(begin, end)).alias("t"), F.lit(-1).alias("s")))
+    d = dimension.where(begin.isNotNull()).select(F.col(key).alias("__k"), F.explode(steps).alias("__x"))
+    d = d.groupBy("__k", F.col("__x.t").alias("__t")).agg(F.sum("__x.s").cast("int").alias("__step")).withColumn("__kind", F.lit(0))
+    both = f.unionByName(d, allowMissingColumns=True)
+    seen = running(both, ["__k"], "__t", [F.col("__t"), F.col("__kind")], {"__n": ("sum", F.col("__step"))}, chunk)
+    alone = f.where(F.col("__k").isNull() | F.col("__t").isNull()).select("__f.*", F.lit(0).cast("bigint").alias("__n"))
+    return seen.where("__kind = 1").select("__f.*", "__n").unionByName(alone)
 
 
 def fk_orphans_at(facts: DataFrame, dimension: DataFrame, fact_key: str, key: str, at: str) -> DataFrame:
-    """Facts without a version of their key at their time."""
-    return facts.where(F.col(fact_key).isNotNull()).join(_dimension(dimension, key), _valid(fact_key, key, at), "left_anti")
+    """Facts without a version of their key at their time; facts without a key aren't held against it."""
+    return versions_at(facts.where(F.col(fact_key).isNotNull()), dimension, fact_key, key, at).where("__n = 0").drop("__n")
 
 
 def fk_ambiguous(facts: DataFrame, dimension: DataFrame, fact_key: str, key: str, at: str, fact_id: str) -> DataFrame:
     """(fact_id, n): facts with more than one version of their key at their time."""
-    return facts.join(_dimension(dimension, key), _valid(fact_key, key, at)).groupBy(fact_id).agg(F.count("*").alias("n")).where("n > 1")
+    return versions_at(facts, dimension, fact_key, key, at).where("__n > 1").select(fact_id, F.col("__n").alias("n"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -96,9 +96,10 @@ def missing_days(runs: DataFrame, keys: Sequence[str], day: str, ok: Column, as_
     return calendar(spans, "__first", "__last").select(*keys, "day").join(good, [*keys, "day"], "left_anti")
 
 
-def plan_range(policies: DataFrame, runs: DataFrame, keys: Sequence[str], day: str, ok: Column, as_of: str, lookback: int, floor: str | None = None, most: int = 366) -> DataFrame:
+def plan_range(policies: DataFrame, runs: DataFrame, keys: Sequence[str], day: str, ok: Column, as_of: str, lookback: int, floor: str | None = None, most: int | None = None) -> DataFrame:
     """(keys, day, again): days to extract, the union of each key's policy ranges, clipped, or without
-    one the lookback; ``again`` if the day isn't after the last good one.  At most the last ``most``.
+    one the lookback; ``again`` if the day isn't after the last good one.  All of them, or the last ``most``
+    if the caller sets that.
 
     ``policies`` has start_day and end_day, either of which may be null (open).
     """
@@ -110,8 +111,9 @@ def plan_range(policies: DataFrame, runs: DataFrame, keys: Sequence[str], day: s
     a = F.when(F.col("__p").isNull(), F.greatest(F.date_sub(today, lookback), low)).otherwise(F.col("__a"))
     days = calendar(joined.withColumns({"__a": a, "__b": F.coalesce("__b", today)}), "__a", "__b").select(*keys, "day").distinct()
     last = runs.where(ok).groupBy(*keys).agg(F.max(day).alias("__last"))
-    ranked = days.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("day")))).where(F.col("__rn") <= most)
-    return ranked.join(last, list(keys), "left").select(*keys, "day", F.coalesce(F.col("day") <= F.col("__last"), F.lit(False)).alias("again"))
+    if most is not None:
+        days = days.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("day")))).where(F.col("__rn") <= most)
+    return days.join(last, list(keys), "left").select(*keys, "day", F.coalesce(F.col("day") <= F.col("__last"), F.lit(False)).alias("again"))
 
 
 def monthly_growth(df: DataFrame, at: str) -> DataFrame:

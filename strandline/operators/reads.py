@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from .cleaning import keep_first
+from .ordered import running
 
 
 def _ts(text: str):
@@ -35,9 +36,10 @@ def as_of_business(bronze: DataFrame, at: str) -> DataFrame:
     return bronze.where((F.col("UdmSourceBeginDate") <= _ts(at)) & (F.col("UdmSourceEndDate") >= _ts(at)))
 
 
-def history_of(bronze: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
-    """All versions of the given keys."""
-    return bronze.join(keys.select(*names).distinct(), list(names), "left_semi")
+def history_of(bronze: DataFrame, keys: DataFrame, names: Sequence[str], *, ordered: bool = False) -> DataFrame:
+    """All versions of the given keys, if asked in order of key and load time (a range sort, over all tasks)."""
+    found = bronze.join(keys.select(*names).distinct(), list(names), "left_semi")
+    return found.orderBy(*names, "UdmEffectiveDateTime") if ordered else found
 
 
 def deleted_since(bronze: DataFrame, since: str) -> DataFrame:
@@ -50,17 +52,26 @@ def deleted_keys(bronze: DataFrame, candidates: DataFrame, names: Sequence[str])
     return bronze.where("UdmActiveFlag = 2").select(*names).distinct().join(candidates.select(*names).distinct(), list(names), "left_semi")
 
 
-def as_of_join(facts: DataFrame, bronze: DataFrame, fact_key: str, key: str, at: str) -> DataFrame:
-    """Facts with the version that was valid when they happened (begin <= time < end); without one, nulls.
+def as_of_join(facts: DataFrame, bronze: DataFrame, fact_key: str, key: str, at: str, chunk: str = "month") -> DataFrame:
+    """Each fact with the last version of its key that began by its time, if that hasn't ended by then; else nulls.
 
-    An equi-join on the key with a range residual: a hot key is split by AQE, and no pair is formed
-    across keys.
+    Facts and versions are laid in one order and the last version is carried along, in chunks of time
+    (see :mod:`ordered`): no pair is formed, however many facts and versions a key has.  Of versions that
+    begin at one time the one that ends last counts, an open one first, then any, but always the same.  A fact
+    without key or time has no version; the version's columns are named ``v_...``.
     """
-    v = bronze.select(*[F.col(c).alias(f"v_{c}") for c in bronze.columns])
-    t = F.col(at)
-    hit = (
-        (F.col(fact_key) == F.col(f"v_{key}"))
-        & (F.col("v_UdmEffectiveDateTime") <= t)
-        & (F.col("v_UdmEndDateTime").isNull() | (t < F.col("v_UdmEndDateTime")))
+    end = F.coalesce(F.col("UdmEndDateTime").cast("timestamp_ntz"), F.lit("9999-12-31").cast("timestamp_ntz"))
+    body = F.struct(*[F.col(f"`{c}`").alias(c) for c in bronze.columns])
+    fact = F.struct(*[F.col(f"`{c}`").alias(c) for c in facts.columns])
+    when = F.col(at).cast("timestamp_ntz")
+    f = facts.select(F.col(fact_key).alias("__k"), when.alias("__t"), fact.alias("__f"))
+    versions = bronze.select(
+        F.col(key).alias("__k"), F.col("UdmEffectiveDateTime").cast("timestamp_ntz").alias("__t"), F.lit(0).alias("__kind"), end.alias("__e"), F.xxhash64(body).alias("__tie"), body.alias("__v")
     )
-    return facts.join(v, hit, "left")
+    both = versions.unionByName(f.withColumn("__kind", F.lit(1)), allowMissingColumns=True)
+    order = [F.col(c) for c in ("__t", "__kind", "__e", "__tie")]
+    seen = running(both, ["__k"], "__t", order, {"__last": ("last", F.when(F.col("__kind") == 0, F.struct("__e", "__v")))}, chunk)
+    valid = F.col("__t") < F.col("__last.__e")
+    out = seen.where("__kind = 1").select("__f.*", F.when(valid, F.col("__last.__v")).alias("__v"))
+    alone = f.where(F.col("__k").isNull() | F.col("__t").isNull()).select("__f.*", F.lit(None).cast(versions.schema["__v"].dataType).alias("__v"))
+    return out.unionByName(alone).select(*[F.col(f"`{c}`") for c in facts.columns], *[F.col(f"__v.`{c}`").alias(f"v_{c}") for c in bronze.columns])

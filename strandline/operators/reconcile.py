@@ -7,15 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .cleaning import one_row
 from .integrity import latest_per_key
 
 
-def one_row(*frames: DataFrame) -> DataFrame:
-    """The columns of several one-row frames in one row."""
-    names = [c for f in frames for c in f.columns]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).agg(*[F.max(c).alias(c) for c in names])
-
-
 def columns_compare(source: DataFrame, stage: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """(column_name, mismatches): null-safe, column by column, and 'any column', over common keys."""
     s = source.select(*keys, F.struct(*columns).alias("__s"))

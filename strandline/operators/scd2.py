@@ -3,16 +3,19 @@
 ``apply`` is a function from the stored history and the current rows to the new history; nothing is
 updated in place.  Flags: 1 active, 0 replaced, 2 deleted at the source.  Load times are open (null)
 while a version is active; business times end at 2999-12-31, and a replaced version ends the day
-before its successor begins, even if that is before its own begin.
+before its successor begins, even if that is before its own begin.  An empty arrival deletes nothing:
+it is taken for a failed extract unless the caller says that the source may be empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..plans.storage import new_path
 from .cleaning import keep_first
+from .ordered import running
 
 SENTINEL = "2999-12-31 00:00:00"
 META = ["UdmHash", "UdmEffectiveDateTime", "UdmEndDateTime", "UdmSourceBeginDate", "UdmSourceEndDate", "UdmActiveFlag", "UdmScd2Operation"]
@@ -48,6 +51,41 @@ def drop_in_flight(bronze: DataFrame) -> DataFrame:
     return bronze.where(~F.coalesce(in_flight(), F.lit(False)))
 
 
+#: Parts in which new surrogate keys are counted; one task numbers the rows of some of them.
+PARTS = 4096
+
+
+def add_surrogate(rows: DataFrame, keys: Sequence[str], after: int = 0, name: str = "_scd2_key") -> DataFrame:
+    """``rows`` numbered from ``after`` + 1 without gaps, the same whenever it is done again.
+
+    Rows are counted in parts by key hash; the parts' counts give each part its first number, so no task
+    orders more than its parts.  Rows of one key and load time are ordered by their other columns' hash.
+    """
+    rest = [F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])]
+    order = [*keys, *(["UdmEffectiveDateTime"] if "UdmEffectiveDateTime" in rows.columns else []), *rest]
+    parts = rows.withColumn("__part", F.pmod(F.xxhash64(*keys), F.lit(PARTS)))
+    # One row per part, 4,096 at most.
+    before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = parts.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    numbered = parts.withColumn("__place", place).join(F.broadcast(first), "__part")
+    return numbered.withColumn(name, (F.col("__first") + F.col("__place") + after).cast("bigint")).drop("__part", "__place", "__first")
+
+
+def verified(gone: DataFrame, verifier: Callable[[DataFrame], DataFrame | None] | None, strict: bool = True) -> DataFrame:
+    """The keys to close as deleted: those that the verifier returns, all if it returns None.
+
+    If it fails, ``strict`` closes none; otherwise the failure is ignored and all are closed.
+    """
+    if verifier is None:
+        return gone
+    try:
+        found = verifier(gone)
+    except Exception:
+        return gone.limit(0) if strict else gone
+    return gone if found is None else found.select(*gone.columns)
+
+
 def apply(
     bronze: DataFrame,
     current: DataFrame,
@@ -57,14 +95,22 @@ def apply(
     begin: Column | None = None,
     deleted: DataFrame | None = None,
     hash_column: str = "_row_hash",
+    may_be_empty: bool = False,
+    verifier: Callable[[DataFrame], DataFrame | None] | None = None,
+    strict: bool = True,
+    surrogate: str | None = None,
 ) -> DataFrame:
     """The history after an arrival.
 
     ``current`` has the whole of what the source holds now, with its hash; keys that it lacks are
     deleted.  If ``deleted`` is given, ``current`` is only a part (a window), and exactly the keys in
     ``deleted`` are deleted; they are closed even if ``current`` is empty.  A key that is new now but
-    has a deleted version comes back with operation R.
+    has a deleted version comes back with operation R.  ``verifier`` and ``strict`` are those of
+    :func:`verified`, over the active keys about to be deleted.  ``surrogate`` names the column in which
+    new versions are numbered after the highest number so far.
     """
+    if deleted is None and not may_be_empty and current.isEmpty():
+        return drop_in_flight(bronze)
     when = _ts(at)
     begin = begin if begin is not None else when
     columns = [c for c in current.columns if not c.startswith("_")]
@@ -91,13 +137,16 @@ def apply(
         .when(is_active & gone, "D")
     )
     plan = joined.withColumn("__op", op).where("__op IS NOT NULL")
+    if verifier:
+        closing = verified(plan.where("__op = 'D'").select(*keys), verifier, strict).distinct().withColumn("__ok", F.lit(True))
+        plan = plan.join(closing, list(keys), "left").where("__op <> 'D' OR __ok").drop("__ok")
     ends = plan.where("__op IN ('U', 'D')").select(*keys, F.col("__op").alias("__close"), F.col("__row.__begin").alias("__next"))
     closing = F.col("__close").isNotNull() & (F.col("UdmActiveFlag") == 1)
     kept = clean.join(ends, list(keys), "left").withColumns(
         {
             "UdmEndDateTime": F.when(closing, when).otherwise(F.col("UdmEndDateTime")),
             "UdmSourceEndDate": F.when(closing & (F.col("__close") == "U"), F.col("__next") - F.expr("INTERVAL 1 DAY"))
-            .when(closing, begin if not values else when)
+            .when(closing, when)
             .otherwise(F.col("UdmSourceEndDate")),
             "UdmActiveFlag": F.when(closing, F.when(F.col("__close") == "D", 2).otherwise(0)).otherwise(F.col("UdmActiveFlag")).cast("tinyint"),
         }
@@ -113,14 +162,19 @@ def apply(
         F.lit(1).cast("tinyint").alias("UdmActiveFlag"),
         F.col("__op").alias("UdmScd2Operation"),
     )
+    if surrogate:
+        highest = bronze.agg(F.max(surrogate).alias("m")).first()["m"] if surrogate in bronze.columns else None
+        new = add_surrogate(new, keys, highest or 0, surrogate)
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def first_load(current: DataFrame, keys: Sequence[str], at: str, *, begin: Column | None = None, hash_column: str = "_row_hash") -> DataFrame:
-    """The history of a first arrival: every row an insert."""
+def first_load(
+    current: DataFrame, keys: Sequence[str], at: str, *, begin: Column | None = None, hash_column: str = "_row_hash", surrogate: str | None = None
+) -> DataFrame:
+    """The history of a first arrival: every row an insert, numbered in the column ``surrogate`` if that is given."""
     when = _ts(at)
     columns = [c for c in current.columns if not c.startswith("_")]
-    return current.select(
+    first = current.select(
         *columns,
         F.col(hash_column).alias("UdmHash"),
         when.alias("UdmEffectiveDateTime"),
@@ -130,16 +184,58 @@ def first_load(current: DataFrame, keys: Sequence[str], at: str, *, begin: Colum
         F.lit(1).cast("tinyint").alias("UdmActiveFlag"),
         F.lit("I").alias("UdmScd2Operation"),
     )
+    return add_surrogate(first, keys, 0, surrogate) if surrogate else first
 
 
-def from_states(states: DataFrame, keys: Sequence[str], at: str, hash_column: str) -> DataFrame:
-    """Versions of many states at once: (keys, hash, begin, end, active), end null while open."""
-    w = Window.partitionBy(*keys).orderBy(at)
-    before = F.lag(hash_column).over(w)
-    first = F.row_number().over(w) == 1
-    points = states.withColumn("__change", first | F.coalesce(F.col(hash_column) != before, F.lit(True))).where("__change")
-    nxt = F.lead(at).over(w)
-    return points.select(*keys, hash_column, F.col(at).alias("begin"), nxt.alias("end"), nxt.isNull().cast("int").alias("active"))
+class HistoryStore:
+    """A history in buckets of keys, of which an arrival rewrites only those that hold its keys.
+
+    ``buckets`` is fixed when the store is made; choose it so that a bucket is a few hundred MB.  A
+    bucket's rows lie in a folder of their own and are replaced by pointing to a new one, so readers of
+    the old version aren't disturbed.
+    """
+
+    def __init__(self, spark: SparkSession, keys: Sequence[str], buckets: int = 64, paths: dict[int, str] | None = None) -> None:
+        self.spark, self.keys, self.buckets, self.paths = spark, list(keys), buckets, dict(paths or {})
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def read(self, some: Sequence[int] | None = None) -> DataFrame | None:
+        """The rows of some buckets, or of all; None if there are none."""
+        paths = [p for b, p in sorted(self.paths.items()) if some is None or b in some]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def write(self, rows: DataFrame) -> HistoryStore:
+        """The store with these rows in place of those in their buckets."""
+        root = new_path(self.spark, "history")
+        rows.withColumn("__bucket", self._bucket()).repartition("__bucket").write.partitionBy("__bucket").parquet(root)
+        new = {r["__bucket"]: f"{root}/__bucket={r['__bucket']}" for r in self.spark.read.parquet(root).select("__bucket").distinct().collect()}
+        return HistoryStore(self.spark, self.keys, self.buckets, self.paths | new)
+
+    def apply_targeted(self, part: DataFrame, deleted: DataFrame, at: str, **how: object) -> HistoryStore:
+        """The store after :func:`apply` of a part of the source and the keys that are gone from it."""
+        touched = part.select(*self.keys).unionByName(deleted.select(*self.keys)).select(self._bucket().alias("b")).distinct()
+        # At most as many numbers as there are buckets.
+        here = [r["b"] for r in touched.collect()]
+        old = self.read(here)
+        if old is None:
+            fresh = first_load(part, self.keys, at, **{k: v for k, v in how.items() if k in ("begin", "hash_column", "surrogate")})
+            return self.write(fresh)
+        return self.write(apply(old, part, self.keys, at, deleted=deleted, **how))
+
+
+def from_states(states: DataFrame, keys: Sequence[str], at: str, hash_column: str, chunk: str = "month") -> DataFrame:
+    """Versions of many states at once: (keys, hash, begin, end, active), end null while open.
+
+    A key's states are compared in chunks of time, see :mod:`ordered`, so no task sorts a whole hot key.
+    """
+    one = states.select(*keys, hash_column, at, F.struct(F.col(hash_column).alias("h")).alias("__s"))
+    seen = running(one, keys, at, [F.col(at)], {"__before": ("last", F.col("__s"))}, chunk)
+    change = F.col("__before").isNull() | F.coalesce(F.col(hash_column) != F.col("__before.h"), F.lit(True))
+    points = seen.where(change).select(*keys, hash_column, at)
+    ends = running(points, keys, at, [F.col(at)], {"end": ("last", F.col(at))}, chunk, backwards=True)
+    return ends.select(*keys, hash_column, F.col(at).alias("begin"), "end", F.col("end").isNull().cast("int").alias("active"))
 
 
 def retention(bronze: DataFrame, candidates: DataFrame, keys: Sequence[str], as_of: str, days: int) -> DataFrame:

@@ -11,8 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.cleaning import keep_first
-from ..operators.reconcile import one_row
+from ..operators.cleaning import keep_first, one_row
 
 
 @dataclass(frozen=True)
