@@ -6,9 +6,14 @@ and row count still agree.  The manifest is computed by tasks, file by file.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.cleaning import keep_first, one_row
@@ -38,9 +43,35 @@ class SnapshotDamaged(RuntimeError):
     """Files or rows of a snapshot aren't those that were written."""
 
 
+#: Bytes of a file that are read at a time.
+PIECE = 8 << 20
+
+
+def _open(path: str):
+    """A file of any file system that Arrow knows, as a stream of bytes."""
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path) if ":" in path else f"file://{path}")
+    return system.open_input_stream(unquote(inner))
+
+
 def _digests(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", F.sha2("content", 256).alias("sha256"))
+    """(file, length, sha256) of every data file; a task streams its files in pieces, whatever their size."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    schema = "file string, length bigint, sha256 string"
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            sums = []
+            for one in pdf["path"]:
+                digest = hashlib.sha256()
+                with _open(one) as stream:
+                    while piece := stream.read(PIECE):
+                        digest.update(piece)
+                sums.append(digest.hexdigest())
+            yield pd.DataFrame({"file": [x.rpartition("/")[2] for x in pdf["path"]], "length": pdf["length"], "sha256": sums})
+
+    return files.mapInPandas(run, schema)
 
 
 def write_snapshot(df: DataFrame, snapshot: Snapshot) -> DataFrame:
@@ -80,6 +111,44 @@ def replay(spark: SparkSession, snapshot: Snapshot) -> DataFrame:
     return spark.read.parquet(snapshot.path)
 
 
+#: Verdicts of a verification, and whether each counts as failed.
+VERDICTS = {"verified": False, "would_verify": False, "skipped": False, "missing": True, "hash_mismatch": True, "status_invalid": True, "error": True}
+
+
+def lookup(registry: DataFrame, source: str, table: str, business_date: str, batch_id: int) -> DataFrame:
+    """The registry row of exactly this snapshot."""
+    return registry.where(
+        (F.col("SourceName") == source) & (F.col("TableName") == table) & (F.col("BusinessDate") == F.lit(business_date).cast("date")) & (F.col("BatchId") == batch_id)
+    )
+
+
+def mark_verified(registry: DataFrame, found: DataFrame) -> DataFrame:
+    """(registry columns, verdict): the registry after a verification.
+
+    ``found`` has what was measured per ``Path``: Sha256 and Rows, null where there is no file.  A snapshot in state
+    created whose checksum and count agree is verified; one that is verified already is skipped; any
+    other state can't be verified.
+    """
+    both = registry.join(found.select("Path", F.col("Sha256").alias("__s"), F.col("Rows").alias("__n"), F.lit(True).alias("__m")), "Path", "left")
+    agrees = F.col("__s").eqNullSafe(F.col("Sha256")) & F.col("__n").eqNullSafe(F.col("RowCount"))
+    verdict = (
+        F.when(F.col("Status") == "verified", "skipped")
+        .when(F.coalesce(F.col("Status") != "created", F.lit(True)), "status_invalid")
+        .when(F.col("__m").isNull() | F.col("__s").isNull(), "missing")
+        .when(~agrees, "hash_mismatch")
+        .otherwise("verified")
+    )
+    out = both.withColumn("verdict", verdict)
+    return out.withColumn("Status", F.when(F.col("verdict") == "verified", "verified").otherwise(F.col("Status"))).select(*registry.columns, "verdict")
+
+
+def verdict_counts(verified: DataFrame) -> DataFrame:
+    """(verdict, n) of a bulk verification, with the sum of those that count as failed."""
+    per = verified.groupBy("verdict").agg(F.count("*").alias("n"))
+    failed = per.where(F.col("verdict").isin(*[v for v, bad in VERDICTS.items() if bad])).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return per.unionByName(failed.select(F.lit("failed").alias("verdict"), "n"))
+
+
 def latest_for_date(registry: DataFrame) -> DataFrame:
     """Per source, table and date, the snapshot to replay: the newest that is verified or further."""
     usable = registry.where(F.col("Status").isin("verified", "replicated", "archived", "replication_failed"))

@@ -215,8 +215,14 @@ def test_files(spark, tmp_path):
 
 def test_database_query_and_retry():
     src = readers.DatabaseSource("jdbc:x", "s.t", ("a", "b", "c"), exclude=("b",), as_text=("c",))
-    assert readers.query(src, "a > 1") == "SELECT a, CAST(c AS VARCHAR(4000)) AS c FROM s.t WHERE a > 1"
-    assert readers.day_predicates("d", [date(2026, 1, 31)]) == ["d >= DATE '2026-01-31' AND d < DATE '2026-02-01'"]
+    assert readers.query(src, "a > 1") == "SELECT a, CAST(c AS CLOB) AS c FROM s.t WHERE a > 1"
+    assert readers.text_type("jdbc:sqlserver://h") == "NVARCHAR(MAX)"
+    with pytest.raises(ValueError):
+        readers.query(readers.DatabaseSource("jdbc:x", "s.t", exclude=("b",)))
+    assert readers.day_predicates("d", [], nulls=True) == ["d IS NULL"]
+    # A sign that an error may pass outweighs one that it won't.
+    assert readers.is_permanent("ORA-01031: insufficient privileges") and not readers.is_permanent("login failed: connection reset")
+    assert readers.day_predicates("d", [date(2026, 1, 31)]) == ["d >= {d '2026-01-31'} AND d < {d '2026-02-01'}"]
     calls, waits = [], []
 
     def fails(message, times):
