@@ -231,8 +231,8 @@ def read_database(
 
 
 def _day(d: date) -> str:
-    """A day in JDBC's own spelling, which every driver turns into its database's."""
-    return f"{{d '{d}'}}"
+    """A day's start in JDBC's own spelling, which every driver turns into its database's."""
+    return f"{{ts '{d} 00:00:00'}}"
 
 
 def day_predicates(column: str, days: Sequence[date], nulls: bool = False) -> list[str]:

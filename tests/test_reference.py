@@ -222,7 +222,7 @@ def test_database_query_and_retry():
     assert readers.day_predicates("d", [], nulls=True) == ["d IS NULL"]
     # A sign that an error may pass outweighs one that it won't.
     assert readers.is_permanent("ORA-01031: insufficient privileges") and not readers.is_permanent("login failed: connection reset")
-    assert readers.day_predicates("d", [date(2026, 1, 31)]) == ["d >= {d '2026-01-31'} AND d < {d '2026-02-01'}"]
+    assert readers.day_predicates("d", [date(2026, 1, 31)]) == ["d >= {ts '2026-01-31 00:00:00'} AND d < {ts '2026-02-01 00:00:00'}"]
     calls, waits = [], []
 
     def fails(message, times):
