@@ -1,19 +1,23 @@
 """History of changing attributes by presence bitmaps.
 
 The states and deletes of an entity are its snapshots, numbered in order of time.  For every entity
-and attribute hash, a bitmap has one bit per snapshot, set where the entity is in that state; a
-delete, or the end that a row states for its own version, is a snapshot at which no bit is set.
-Every run of consecutive bits is one version, and gaps need no rule of their own.
+and state, a bitmap has one bit per snapshot, set where the entity is in that state; a delete, or the
+end that a row states for its own version, is a snapshot at which no bit is set.  Every run of
+consecutive bits is one version, and gaps need no rule of their own.  States are told apart by the
+hash of their texts and by clusters of their number's true values, never by a hash of the number.
 
 Rows are spread by ranges of (entity, time), so an entity with a third of all rows lies in many
 partitions.  Inside a partition whole blocks of entities are worked on at once.  Only the entities at
 a partition's two edges can continue elsewhere: of these the versions in between are final, and just
-their first and last runs (a row per stated end in them) go to a second step that joins the pieces.
+their first and last runs (a row per stated end in them) go to a second step that joins the pieces,
+by bitmaps as well.  Where a table is cut makes no difference.
 
 Defined results
 - Rows with a null key or effective time are no records.
 - Of rows with the same key and effective time only that of the greatest surrogate key counts, one
   with a null surrogate key last; equal surrogate keys: the greatest row.
+- A row continues the version if its state equals that of the row before it; doubles of any size, NaN
+  and infinities included, are equal if they differ by less than 0.000001 or are the same.
 - A version ends at the first of: a row with another state (flag 0), a delete (flag 2), the end of
   one of its own rows with flag 2 that is no delete (flag 2).  If a row starts exactly at such an
   end, the version has ended with flag 2 and the row begins a new one.
@@ -82,6 +86,49 @@ def _first_of(p: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.where(new, np.arange(len(p)), 0))
 
 
+def state_codes(e: dict[str, np.ndarray], real: np.ndarray) -> np.ndarray:
+    """A number per event in ``real``: rows that follow each other have the same if they are in one state.
+
+    The rows of an entity and text hash are sorted by their number and clustered where neighbours are
+    equal.  Nearly always all values of a cluster are equal to each other; where they drift further
+    apart than that, the cluster is divided in order of time.
+    """
+    if not len(real):
+        return np.zeros(0, np.int64)
+    p, sh, risk, row = e["p"][real], e["sh"][real], e["risk"][real], e["kind"][real] == ROW
+    order = np.lexsort((risk, sh, p))
+    ps, ss, rs = p[order], sh[order], risk[order]
+    new = np.ones(len(real), bool)
+    new[1:] = (ps[1:] != ps[:-1]) | (ss[1:] != ss[:-1]) | ~_near(rs[1:], rs[:-1])
+    at = np.flatnonzero(new)
+    cluster = np.empty(len(real), np.int64)
+    cluster[order] = np.cumsum(new) - 1
+    last = np.append(at[1:], len(real)) - 1
+    wide = ~_near(rs[at], rs[last])[cluster]
+    if not wide.any():
+        return cluster
+    brk = wide.copy()
+    brk[1:] &= ~(row[1:] & row[:-1] & (cluster[1:] == cluster[:-1]) & _near(risk[1:], risk[:-1]))
+    return cluster * (len(real) + 1) + np.where(wide, np.cumsum(brk), 0)
+
+
+def _presence(p: np.ndarray, code: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last event of every version: runs in the bitmaps of each entity's states.
+
+    ``row`` tells which events set a bit; events are sorted by entity and time.
+    """
+    first = _first_of(p)
+    ordinal = np.arange(len(p)) - first
+    rows = np.flatnonzero(row)
+    rows = rows[np.argsort(code[rows], kind="stable")]
+    group = np.unique(code[rows], return_inverse=True)[1] if len(rows) else rows
+    g, a, b = bit_runs(group, ordinal[rows])
+    new = np.ones(len(rows), bool)
+    new[1:] = group[1:] != group[:-1]
+    base = first[rows][new][g]
+    return base + a, base + b
+
+
 def versions(e: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Versions of whole entities; events are sorted by entity, time and kind."""
     p, t, kind = e["p"], e["t"], e["kind"]
@@ -89,24 +136,21 @@ def versions(e: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     if not len(real):
         return {c: np.zeros(0, np.int64) for c in ("p", "b", "e", "flag")}
     rp, rk = p[real], kind[real]
-    other = np.ones(len(real), bool)
-    if len(real) > 1:
-        same = (rp[1:] == rp[:-1]) & (rk[1:] == ROW) & (rk[:-1] == ROW)
-        same &= (e["sh"][real][1:] == e["sh"][real][:-1]) & _near(e["risk"][real][1:], e["risk"][real][:-1])
-        other[1:] = ~same
-    run = np.cumsum(other)
+    code = state_codes(e, real)
     keep = np.ones(len(p), bool)
     ends = np.flatnonzero(kind == END)
     if len(ends):
-        # An end holds if the run of its own row still lasts; among ends of one run, by time, an end is
-        # void if a valid one lies between its row and itself.
+        begins = rk != ROW
+        begins[_presence(rp, code, rk == ROW)[0]] = True
+        run = np.cumsum(begins)
+        # An end holds if the run that its own row is in still lasts; among ends of one run, by time, an end
+        # is void if a valid one lies between its row and itself.
         last = np.searchsorted(real, ends) - 1
-        times, code = np.unique(np.concatenate([t[real], e["origin"][ends]]), return_inverse=True)
+        times, place = np.unique(np.concatenate([t[real], e["origin"][ends]]), return_inverse=True)
         who = np.unique(np.concatenate([rp, p[ends]]), return_inverse=True)[1]
-        rank = who.astype(np.int64) * len(times) + code
-        own = np.searchsorted(rank[: len(real)], rank[len(real) :])
-        own = np.minimum(own, len(real) - 1)
-        good = (last >= 0) & (rank[: len(real)][own] == rank[len(real) :]) & (run[last] == run[own]) & (rp[last] == p[ends])
+        rank = who.astype(np.int64) * len(times) + place
+        own = np.searchsorted(rank[: len(real)], rank[len(real) :], side="right") - 1
+        good = (last >= 0) & (own >= 0) & (rp[own] == p[ends]) & (rp[last] == p[ends]) & (run[last] == run[own]) & (rk[last] == ROW)
         keep[ends[~good]] = False
         ends, of = ends[good], run[last[good]]
         several = np.flatnonzero(np.isin(of, of[1:][of[1:] == of[:-1]])) if len(of) > 1 else []
@@ -117,79 +161,56 @@ def versions(e: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
                 keep[x] = False
             else:
                 reach[r] = t[x]
-    h = np.zeros(len(p), np.int64)
-    lead = np.flatnonzero(other)
-    mixed = e["sh"] ^ (np.nan_to_num(np.round(e["risk"] / EPSILON), nan=-1.0, posinf=-2.0, neginf=-3.0).astype(np.int64) * 0x9E3779B1)
-    h[real] = mixed[real][lead][run - 1]
-    p, t, kind, h = p[keep], t[keep], kind[keep], h[keep]
-    first = _first_of(p)
-    ordinal = np.arange(len(p)) - first
-    rows = np.flatnonzero(kind == ROW)
-    rows = rows[np.lexsort((ordinal[rows], h[rows], first[rows]))]
-    new = np.ones(len(rows), bool)
-    new[1:] = (first[rows][1:] != first[rows][:-1]) | (h[rows][1:] != h[rows][:-1])
-    group = np.cumsum(new) - 1
-    g, a, b = bit_runs(group, ordinal[rows])
-    base = first[rows][new][g]
-    begin, after = base + a, base + b + 1
+    state = np.zeros(len(p), np.int64)
+    state[real] = code
+    p, t, kind, state = p[keep], t[keep], kind[keep], state[keep]
+    begin, last = _presence(p, state, kind == ROW)
+    after = last + 1
     ended = after < len(p)
     nxt = np.where(ended, after, begin)
     ended &= p[nxt] == p[begin]
-    flag = np.where(ended, np.where(kind[nxt] == ROW, 0, 2), 1)
+    flag = np.where(ended, np.where((kind[nxt] == ROW) | (kind[nxt] == CUT), 0, 2), 1)
     return {"p": p[begin], "b": t[begin], "e": np.where(ended, t[nxt], 0), "flag": flag}
 
 
-def walk(events: Iterator[tuple[int, int, int, float, int]]) -> list[tuple[int, int, int]]:
-    """Versions of one entity, event by event: (begin, end, flag)."""
-    out, begin, sh, risk = [], None, 0, 0.0
-    for t, kind, h, r, origin in events:
-        if kind == ROW:
-            if begin is not None:
-                if h == sh and (r == risk or abs(r - risk) < EPSILON or (r != r and risk != risk)):
-                    continue
-                out.append((begin, t, 0))
-            begin, sh, risk = t, h, r
-        elif begin is not None and (kind != END or begin <= origin):
-            out.append((begin, t, 0 if kind == CUT else 2))
-            begin = None
-    if begin is not None:
-        out.append((begin, 0, 1))
-    return out
-
-
 def edge(e: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """A piece of one entity: the versions that are final, and the events of its first and last run."""
+    """A piece of one entity: the versions that are final, and the events of its first and last run.
+
+    A row whose version is final but that ends the first run is among the events as a CUT.
+    """
     kind = e["kind"]
     real = np.flatnonzero(kind != END)
+    code = state_codes(e, real)
     same = np.zeros(len(real), bool)
     if len(real) > 1:
         rows = (kind[real][1:] == ROW) & (kind[real][:-1] == ROW)
-        same[1:] = rows & (e["sh"][real][1:] == e["sh"][real][:-1]) & _near(e["risk"][real][1:], e["risk"][real][:-1])
+        same[1:] = rows & (code[1:] == code[:-1])
     opens = np.ones(len(kind), bool)
     opens[1:] = kind[:-1] == END
     wanted = opens | (kind != ROW)
     changes = real[1:][~same[1:]] if len(real) > 1 else real[:0]
     if len(real) and kind[real[0]] == DELETE:
         changes = np.concatenate([real[:1], changes])
+    if len(real):
+        # Where a run ends, its last row is what the next row is compared with, in this piece or the next.
+        wanted[real[[0, -1]]] = True
+    if len(changes) and changes[0] > real[0]:
+        wanted[real[np.searchsorted(real, changes[0]) - 1]] = True
+    for run in (slice(0, changes[0]), slice(changes[-1], len(kind))) if len(changes) else (slice(0, len(kind)),):
+        risk = e["risk"][run][kind[run] == ROW]
+        if len(risk) and not _near(risk.max(), risk.min()):
+            # Values drift: rows that are left out would make their neighbours look unequal.
+            wanted[run] = True
     if not len(changes):
-        if len(real):
-            wanted[real[0]] = True
         return versions({k: v[:0] for k, v in e.items()}), {k: v[wanted] for k, v in e.items()}
     a, b = changes[0], changes[-1]
-    if len(real):
-        wanted[real[0]] = True
-    middle = {k: v[a : b + 1] for k, v in e.items()}
-    final = versions(middle)
+    final = versions({k: v[a : b + 1] for k, v in e.items()})
     done = final["flag"] != 1
-    if kind[a] == ROW and a == b:
-        cut = np.zeros(0, np.int64)
-    else:
-        cut = np.array([a])
     head = np.flatnonzero(wanted[:a])
     tail_wanted = wanted[b:].copy()
     tail_wanted[0] = True
     tail = b + np.flatnonzero(tail_wanted)
-    pick = np.concatenate([head, cut, tail]) if a != b else np.concatenate([head, tail])
+    pick = np.concatenate([head, np.array([a]), tail]) if a != b else np.concatenate([head, tail])
     events = {k: v[pick] for k, v in e.items()}
     if a != b and kind[a] == ROW:
         events["kind"] = events["kind"].copy()
@@ -252,9 +273,10 @@ def _pieces(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _stitch(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Versions of one entity from the edge events of its pieces."""
     pdf = pdf.assign(order=np.where(pdf["kind"] == END, 0, 1)).sort_values(["a", "order"], kind="stable")
-    found = walk(zip(*(pdf[c].tolist() for c in ("a", "kind", "sh", "risk", "origin")), strict=True))
-    return pd.DataFrame({"p": pdf["p"].iloc[0], "b": [v[0] for v in found], "e": [v[1] for v in found], "flag": [v[2] for v in found]})
+    found = versions({k: pdf[c].to_numpy() for k, c in (("p", "p"), ("t", "a"), ("kind", "kind"), ("sh", "sh"), ("risk", "risk"), ("origin", "origin"))})
+    return pd.DataFrame(found)
 
 
 def entity_history(

@@ -124,4 +124,43 @@ FROM s FULL JOIN t ON s.id = t.id AND s.sourcename = t.sourcename AND s.acctnbr
 WHERE s.acctnbr IS NULL OR t.acctnbr IS NULL OR {" OR ".join(_differs(c, k) for c, k in _SNAPSHOT.items())}
 """
 
-TRAINING_SQL: dict[str, str] = {"p1_found": _P1, "p2_found": _P2, "p4_found": _P4}
+# The rows of a person are walked one by one, the version that is open carried along.
+_P3 = """
+WITH RECURSIVE once AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY persnbr, UdmEffectiveDateTime ORDER BY _scd2_key DESC NULLS LAST) AS rn
+    FROM pers_bronze WHERE persnbr IS NOT NULL AND UdmEffectiveDateTime IS NOT NULL
+  ) WHERE rn = 1
+), r AS (
+  SELECT persnbr, epoch_us(UdmEffectiveDateTime) AS t, CASE WHEN upper(trim(UdmScd2Operation, ' ')) = 'D' THEN 2 ELSE 1 END AS kind,
+    rtrim(nfc_normalize(persname), ' ') AS a, rtrim(nfc_normalize(segment), ' ') AS b, rtrim(nfc_normalize(city), ' ') AS c, riskscore AS d,
+    CASE WHEN upper(trim(UdmScd2Operation, ' ')) IS DISTINCT FROM 'D' AND UdmActiveFlag = 2 AND UdmEndDateTime > UdmEffectiveDateTime THEN epoch_us(UdmEndDateTime) END AS fin
+  FROM once
+), ev AS (
+  SELECT persnbr, t, kind, a, b, c, d, t AS origin FROM r
+  UNION ALL SELECT persnbr, fin, 0, NULL, NULL, NULL, NULL, t FROM r WHERE fin IS NOT NULL
+), n AS (SELECT *, row_number() OVER (PARTITION BY persnbr ORDER BY t, kind, origin) AS i, count(*) OVER (PARTITION BY persnbr) AS many FROM ev),
+w AS (
+  SELECT persnbr, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS many, CAST(NULL AS BIGINT) AS since, CAST(NULL AS VARCHAR) AS a, CAST(NULL AS VARCHAR) AS b,
+    CAST(NULL AS VARCHAR) AS c, CAST(NULL AS DOUBLE) AS d, CAST(NULL AS BIGINT) AS begin_us, CAST(NULL AS BIGINT) AS end_us, CAST(NULL AS INTEGER) AS flag
+  FROM (SELECT DISTINCT persnbr FROM n)
+  UNION ALL
+  SELECT persnbr, i, many,
+    CASE kind WHEN 1 THEN CASE WHEN goes_on THEN since ELSE t END WHEN 2 THEN NULL ELSE CASE WHEN since > origin THEN since END END,
+    CASE kind WHEN 1 THEN a2 ELSE a END, CASE kind WHEN 1 THEN b2 ELSE b END, CASE kind WHEN 1 THEN c2 ELSE c END, CASE kind WHEN 1 THEN d2 ELSE d END,
+    CASE WHEN closes THEN since END, CASE WHEN closes THEN t END, CASE WHEN closes THEN CASE kind WHEN 1 THEN 0 ELSE 2 END END
+  FROM (
+    SELECT *, since IS NOT NULL AND CASE kind WHEN 1 THEN NOT goes_on WHEN 2 THEN true ELSE since <= origin END AS closes FROM (
+      SELECT w.persnbr, n.i, n.many, n.t, n.kind, n.origin, w.since, w.a, w.b, w.c, w.d, n.a AS a2, n.b AS b2, n.c AS c2, n.d AS d2,
+        w.since IS NOT NULL AND w.a IS NOT DISTINCT FROM n.a AND w.b IS NOT DISTINCT FROM n.b AND w.c IS NOT DISTINCT FROM n.c
+        AND CASE WHEN w.d IS NULL OR n.d IS NULL THEN w.d IS NULL AND n.d IS NULL WHEN isnan(w.d) OR isnan(n.d) THEN isnan(w.d) AND isnan(n.d)
+          ELSE w.d = n.d OR abs(w.d - n.d) < 0.000001 END AS goes_on
+      FROM w JOIN n ON n.persnbr = w.persnbr AND n.i = w.i + 1
+    )
+  )
+)
+SELECT persnbr, begin_us, end_us, flag AS active_flag FROM w WHERE begin_us IS NOT NULL
+UNION ALL SELECT persnbr, since, CAST(0 AS BIGINT), 1 FROM w WHERE i = many AND since IS NOT NULL
+"""
+
+TRAINING_SQL: dict[str, str] = {"p1_found": _P1, "p2_found": _P2, "p3_found": _P3, "p4_found": _P4}
