@@ -20,6 +20,10 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return apply_changes.accounts_at_end(spark, f"{folder}/acct_change.parquet").select("acctnbr", "change_id")
 
 
+def p1_in_batches(spark: SparkSession, folder: str) -> DataFrame:
+    return apply_changes.accounts_after_batches(spark, table(spark, folder, "acct_change")).select("acctnbr", "change_id")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     source, stage, log = (table(spark, folder, t) for t in ("acct_source", "acct_stage", "reconciliationlog"))
     return reconcile_copies.account_findings(spark, source, stage, log)
@@ -46,6 +50,7 @@ def _typed(name: str) -> Query:
 
 TRAINING: dict[str, Query] = {
     "p1_found": p1_found,
+    "p1_in_batches": p1_in_batches,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p4_found": p4_found,
@@ -163,4 +168,4 @@ SELECT persnbr, begin_us, end_us, flag AS active_flag FROM w WHERE begin_us IS N
 UNION ALL SELECT persnbr, since, CAST(0 AS BIGINT), 1 FROM w WHERE i = many AND since IS NOT NULL
 """
 
-TRAINING_SQL: dict[str, str] = {"p1_found": _P1, "p2_found": _P2, "p3_found": _P3, "p4_found": _P4}
+TRAINING_SQL: dict[str, str] = {"p1_found": _P1, "p1_in_batches": _P1, "p2_found": _P2, "p3_found": _P3, "p4_found": _P4}

@@ -2,7 +2,9 @@ import random
 from datetime import datetime, timedelta
 
 from strandline.functions import bitmaps
-from strandline.operators.apply_changes import ACCOUNT_FEED, ChangeTable, apply_changes, apply_files, read_table
+from hypothesis import given, settings, strategies as st
+
+from strandline.operators.apply_changes import ACCOUNT_FEED, ChangeTable, apply_changes, apply_files, compact, read_table
 from pyspark.sql import functions as F
 
 SCHEMA = "change_id bigint, acctnbr bigint, name string, _cdc_operation string, _cdc_valid_from timestamp_ntz, _cdc_batch_id bigint, __file string"
@@ -72,6 +74,45 @@ def test_redelivery_with_tied_times_over_several_batches(spark):
     assert found(spark, table) == {(1, 2), (2, 12), (3, 24)} == brute(sum(batches, []))
 
 
+def run(spark, batches, **how):
+    table = ChangeTable(ACCOUNT_FEED, **how)
+    for b in batches:
+        table = apply_changes(spark, table, spark.createDataFrame(b, SCHEMA))
+    return table
+
+
+def test_losers_that_come_again(spark):
+    row = lambda cid, op, batch: (cid, 1, f"n{cid}", op, T0, batch, "x")
+    for first, again in (
+        ([row(1, "U", 2), row(2, "U", 5)], row(1, "U", 9)),
+        # A winner delivered with a lower batch makes another change of the first batch hold again.
+        ([row(1, "U", 5), row(2, "U", 4)], row(1, "U", 3)),
+        ([row(1, "D", 2), row(2, "U", 5)], row(1, "D", 9)),
+        ([row(1, "D", 5), row(2, "U", 4)], row(1, "D", 3)),
+    ):
+        assert found(spark, run(spark, [first, [again]])) == brute([*first, again])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(0, 1000), st.lists(st.integers(0, 60), max_size=3), st.sampled_from([2, 16]))
+def test_any_split_into_batches_gives_the_same(spark, seed, cuts, merge):
+    # Few times and keys: most changes are tied with others.
+    r = random.Random(seed)
+    rows = [(c := r.randrange(25), c % 4, f"n{c}", "IUD"[c % 3], T0 + timedelta(seconds=c % 2), r.randrange(6), "x") for _ in range(60)]
+    ends = sorted({0, 60, *cuts})
+    assert found(spark, run(spark, [rows[a:b] for a, b in zip(ends, ends[1:], strict=False)], merge_every=merge, buckets=3)) == brute(rows)
+
+
+def test_a_batch_writes_only_what_it_touches(spark):
+    rows = [(i, i, "n", "I", T0, 1, "x") for i in range(200)]
+    one = run(spark, [rows], buckets=8)
+    two = apply_changes(spark, one, spark.createDataFrame([(900, 7, "n", "U", T0 + timedelta(1), 2, "x")], SCHEMA))
+    assert two.index[:-1] == one.index and two.vectors[:-1] == one.vectors
+    seg = lambda kind, t: spark.read.parquet(f"{t.root}/{kind}/seg={getattr(t, kind)[-1]}")
+    assert seg("index", two).count() == 1 and seg("vectors", two).where("NOT __own").count() == 1
+    assert found(spark, compact(spark, two)) == found(spark, two) == {(i, i) for i in range(200) if i != 7} | {(7, 900)}
+
+
 def test_files_in_place_and_without_broadcast(spark, tmp_path):
     rows = feed(2, 400, 30)
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "f"))

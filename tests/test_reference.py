@@ -280,6 +280,14 @@ def test_stream(spark, tmp_path):
     live = LiveTable(spark, ChangeTable(ACCOUNT_FEED))
     live.follow(feed, str(tmp_path / "cp")).awaitTermination()
     assert [(r["acctnbr"], r["change_id"]) for r in read_table(spark, live.table).collect()] == [(1, 4)]
+    # Started again, the stream goes on with the table as it was.
+    spark.createDataFrame([(6, 3, "I", t, 4)], schema).coalesce(1).write.parquet(str(tmp_path / "in/b3"))
+    live = LiveTable(spark, ChangeTable(ACCOUNT_FEED))
+    live.follow(feed, str(tmp_path / "cp")).awaitTermination()
+    assert sorted((r["acctnbr"], r["change_id"]) for r in read_table(spark, live.table).collect()) == [(1, 4), (3, 6)]
+    before = live.table
+    live.take(spark.createDataFrame([(7, 4, "I", t, 4)], schema), live.batch)
+    assert live.table == before
 
     spark.createDataFrame([(t, "a"), (t, "a"), (t.replace(hour=9), "b")], "ts timestamp, kind string").write.parquet(str(tmp_path / "ev"))
     ev = spark.readStream.schema("ts timestamp, kind string").parquet(str(tmp_path / "ev"))
