@@ -1,7 +1,7 @@
 """Rows that fail to parse: the strict csv reader per record, then typed constructors.
 
-Each record is one string that may hold quoted delimiters and line breaks.  In every partition the
-records go through Python's strict ``csv`` reader, whose exceptions are the structural failures; the
+Each record is one string that may hold quoted delimiters and line breaks; :mod:`assemble_records` makes
+such records of a file's lines.  In every partition the records go through Python's strict ``csv`` reader, whose exceptions are the structural failures; the
 fields of what survives go to a constructor per column, and the first that refuses is the value
 failure.  Records without a fault come out with their fields, which :func:`typed_rows` turns into
 columns of the layout's types inside the JVM.  It is one narrow stage: no shuffle, no state.

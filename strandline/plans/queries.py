@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import apply_changes, entity_history, reconcile_copies, reject_records, snapshot_changes
 
@@ -42,8 +42,11 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _typed(name: str) -> Query:
+    """Typed rows of one file; its decimals are shown as doubles, which every engine spells alike."""
+
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return reject_records.typed_rows(table(spark, folder, "quarantine"), table(spark, folder, "file_layout"), name)
+        rows = reject_records.typed_rows(table(spark, folder, "quarantine"), table(spark, folder, "file_layout"), name)
+        return rows.withColumns({f.name: F.col(f.name).cast("double") for f in rows.schema.fields if isinstance(f.dataType, T.DecimalType)})
 
     return query
 
@@ -168,4 +171,56 @@ SELECT persnbr, begin_us, end_us, flag AS active_flag FROM w WHERE begin_us IS N
 UNION ALL SELECT persnbr, since, CAST(0 AS BIGINT), 1 FROM w WHERE i = many AND since IS NOT NULL
 """
 
-TRAINING_SQL: dict[str, str] = {"p1_found": _P1, "p1_in_batches": _P1, "p2_found": _P2, "p3_found": _P3, "p4_found": _P4}
+# A field is either quoted as a whole or without any quote; patterns are put together from each file's delimiter.
+_P5 = """
+WITH q AS (
+  SELECT QuarantineId, TableName, CASE WHEN ends_with(RecordData, chr(13) || chr(10)) THEN RecordData[:-3]
+    WHEN ends_with(RecordData, chr(10)) OR ends_with(RecordData, chr(13)) THEN RecordData[:-2] ELSE RecordData END AS rec FROM quarantine
+), l AS (SELECT table_name, any_value(delimiter) AS d, count(*) AS n FROM file_layout GROUP BY 1),
+k AS (SELECT q.*, coalesce(l.d, ',') AS d, l.n FROM q LEFT JOIN l ON q.TableName = l.table_name),
+p AS (SELECT *, '(?:"(?:[^"]|"")*"|[^"' || d || ']*)' AS one FROM k),
+g AS (
+  SELECT QuarantineId, TableName, rec, n, regexp_full_match(rec, one || '(?:[' || d || ']' || one || ')*') AS sound,
+    regexp_extract_all(d || rec, '[' || d || '](' || one || ')', 1) AS fields FROM p
+), c AS (
+  SELECT g.QuarantineId, g.TableName, y.ordinal, y.column_name, lower(y.value_type) AS kind, y.nullable, g.fields[y.ordinal] AS raw,
+    CASE WHEN g.fields[y.ordinal] LIKE '"%' THEN replace(substr(g.fields[y.ordinal], 2, length(g.fields[y.ordinal]) - 2), '""', '"') ELSE g.fields[y.ordinal] END AS v,
+    TRY_CAST(regexp_extract(y.value_type, '[(]([0-9]+)', 1) AS INTEGER) AS p, coalesce(TRY_CAST(regexp_extract(y.value_type, ',[ ]*([0-9]+)', 1) AS INTEGER), 0) AS s
+  FROM g JOIN file_layout y ON y.table_name = g.TableName WHERE g.sound AND len(g.fields) = g.n
+), t AS (
+  SELECT *, CASE WHEN raw = '' THEN nullable
+    WHEN kind = 'bigint' THEN regexp_full_match(v, '-?[0-9]{1,18}')
+    WHEN kind LIKE 'decimal%' THEN regexp_full_match(v, '-?[0-9]{1,' || (p - s) || '}(?:[.][0-9]{1,' || s || '})?')
+    WHEN kind = 'date' THEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND v >= '0001' AND TRY_CAST(v AS DATE) IS NOT NULL
+    WHEN kind = 'timestamp' THEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2} (?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:[.][0-9]{3})?') AND v >= '0001' AND TRY_CAST(v[:10] AS DATE) IS NOT NULL
+    WHEN kind = 'flag' THEN v IN ('Y', 'N')
+    ELSE length(v) <= p END AS ok FROM c
+)"""
+_P5_FOUND = _P5 + """, b AS (SELECT QuarantineId, arg_min(column_name, ordinal) AS column_name FROM t WHERE NOT ok GROUP BY 1)
+SELECT g.QuarantineId, CASE WHEN rec IS NULL THEN 'COLUMN_COUNT' WHEN NOT sound THEN 'QUOTING' WHEN n IS NULL OR len(fields) <> n THEN 'COLUMN_COUNT' ELSE 'VALUE' END AS reason,
+  coalesce(b.column_name, '') AS column_name
+FROM g LEFT JOIN b ON b.QuarantineId = g.QuarantineId
+WHERE rec IS NULL OR NOT sound OR n IS NULL OR len(fields) <> n OR b.column_name IS NOT NULL
+"""
+#: The columns of the four files and the kinds that are no text.
+_FILES = {
+    "ACCT": {"acctnbr": "BIGINT", "acctname": "", "mjaccttypcd": "", "opendate": "DATE", "curbal": "DOUBLE", "closed": "FLAG", "note": ""},
+    "CARDTXN": {
+        "txnnbr": "BIGINT", "acctnbr": "BIGINT", "txntime": "TIMESTAMP", "amount": "DOUBLE", "currency": "", "memo": "", "reversed": "FLAG", "rate": "DOUBLE", "branchnbr": "BIGINT",
+    },
+    "PERS": {"persnbr": "BIGINT", "persname": "", "birthdate": "DATE", "city": "", "active": "FLAG", "changed": "TIMESTAMP"},
+    "ORG": {"orgnbr": "BIGINT", "orgname": "", "since": "DATE", "capital": "DOUBLE", "remark": ""},
+}
+
+
+def _p5_rows(name: str) -> str:
+    def value(column: str, kind: str) -> str:
+        text = f"max(CASE WHEN column_name = '{column}' AND raw <> '' THEN v END)"
+        return f"{f'{text} = {chr(39)}Y{chr(39)}' if kind == 'FLAG' else f'CAST({text} AS {kind})' if kind else text} AS {column}"
+
+    columns = ", ".join(value(c, k) for c, k in _FILES[name].items())
+    return f"{_P5} SELECT QuarantineId, {columns} FROM t WHERE TableName = '{name}' GROUP BY QuarantineId HAVING bool_and(ok)"
+
+
+TRAINING_SQL: dict[str, str] = {"p1_found": _P1, "p1_in_batches": _P1, "p2_found": _P2, "p3_found": _P3, "p4_found": _P4, "p5_found": _P5_FOUND}
+TRAINING_SQL |= {f"p5_rows_{name.lower()}": _p5_rows(name) for name in _FILES}
