@@ -2,7 +2,7 @@
 
 A linear-chain model tags every character as boundary or inside, and Viterbi decoding picks the best
 tags of each stretch of text.  Only a character that could end a sentence (a mark, a closing bracket
-after one, a space between Thai letters) has a score of its own; the score of all others is that of
+after one, a space between Thai or Lao letters) has a score of its own; the score of all others is that of
 staying inside, so the chain is decoded over the candidates alone with the same result.  The stretches
 of a whole block of documents are decoded together, step by step, by array operations.
 
@@ -12,6 +12,10 @@ are known; for scripts without sentence marks the punctuation is stripped first
 fall on spaces.  Training takes a few seconds, has a fixed seed, and doesn't see the corpus: the model
 is the same at every size.
 
+Marks of scripts that have their own are candidates as well, and so are words that can only be
+abbreviations (no vowel), whether the lists know them or not.  Runs of marks, brackets and digits count
+in full, and words are compared whole, whatever their length.
+
 Line structure comes first and fixes some tags: blank lines, headings, log lines, list items and the
 line that introduces a list.  Marks inside a matched quotation or bracket are inside.
 
@@ -36,9 +40,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from . import sentence_lexicon as lex
 from .codes import BLOCK, SIZE, WHITE_SPACE, blocks, codes_of, members
 
-_TERMINALS = ".!?…。！？।॥۔؟‼⁇⁈⁉｡．"
+#: Full stops and question marks of scripts that have their own, beside those of Latin and East Asian text.
+_OWN_STOPS = "।॥۔؟።፧፨។៕။།༎։෴᠃᠉᭞᭟꧈꧉꯫꫰꫱߹⸮᪨᪩᱾᱿꤯꘎꘏꛳꛷𑁇𑁈"
+_TERMINALS = ".!?…。！？‼⁇⁈⁉｡．" + _OWN_STOPS
 _CJK_TERMINALS = "。！？｡．"
-_ALWAYS = "。！？।॥۔؟｡!?‼⁇⁈⁉"
+_ALWAYS = "。！？｡!?‼⁇⁈⁉" + _OWN_STOPS
 _PAIRS = {"(": ")", "[": "]", "（": "）", "［": "］", "【": "】", "「": "」", "『": "』", "《": "》", "«": "»", "“": "”", "„": "“", "‹": "›"}
 _OPENERS = "".join(_PAIRS)
 _QUOTES = "\"«“„「『‹"
@@ -47,9 +53,8 @@ _BULLETS = "-*•–—·‣▪◦●"
 _HEADS = "■□◆◇▶●※#"
 # Kinds of candidate, classes of the word before a mark, of what comes next.
 DOT, DOTS, ASK, WIDE, GREEK, CLOSE, THAI = range(7)
-PLAIN, INNER, EITHER, INITIAL, NUMBER = range(5)
+PLAIN, INNER, EITHER, INITIAL, NUMBER, MUTE, DATE = range(7)
 UPPER, LOWER, DIGIT, CASELESS, OPENER, DASH, SYMBOL, END = range(8)
-_LENGTH = 8
 
 
 @cache
@@ -62,7 +67,12 @@ def _tables() -> dict[str, np.ndarray]:
         "greek": members(r"\p{Greek}") & members(r"\p{L}"),
         "cjk": members(r"[\p{Han}\p{Hiragana}\p{Katakana}ー々〆]"),
         "kana": members(r"\p{Hiragana}"),
+        # Scripts without sentence marks, in which spaces part sentences and phrases, and all that put no space between words.
         "thai": members(r"[ก-ฺเ-๎]"),
+        "lao": members(r"[ກ-ຽເ-ໆ່-ໍໜ-ໟ]"),
+        "packed": members(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]"),
+        "vowel": members(r"[aeiouyàâäáãåæèéêëìíîïòóôöõøœùúûüýÿаеёиоуыэюяєіїαεηιουωάέήίόύώϊϋΐΰ]"),
+        "spelt": members(r"[\p{Latin}\p{Cyrillic}\p{Greek}]") & members(r"\p{L}"),
     }
     # Both parts of a line with a letter or a digit; marks alone don't count.
     t["alnum"] = members(r"\p{L}") | t["digit"]
@@ -88,26 +98,25 @@ def _tables() -> dict[str, np.ndarray]:
     return t
 
 
-_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-
-
 def _hash(rows: np.ndarray) -> np.ndarray:
-    x = (rows.astype(np.uint64) + np.uint64(7)) * _MIX
+    weights = np.random.default_rng(20240607).integers(1, 1 << 63, rows.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    x = (rows.astype(np.uint64) + np.uint64(7)) * weights
     return (x ^ (x >> np.uint64(31))).sum(axis=1, dtype=np.uint64)
 
 
 @cache
 def _lexicon() -> dict[str, np.ndarray]:
-    def table(words: list[str] | tuple[str, ...], backwards: bool) -> np.ndarray:
-        words = sorted({unicodedata.normalize(form, w) for w in words for form in ("NFC", "NFD")})
-        rows = np.zeros((len(words), _LENGTH), np.uint32)
-        for i, w in enumerate(words):
-            c = [ord(x) for x in (w[::-1] if backwards else w)][:_LENGTH]
-            rows[i, : len(c)] = c
-        return np.sort(_hash(rows))
-
-    short = [w for w in lex.INNER if len(w) < _LENGTH], [w for w in lex.EITHER if len(w) < _LENGTH]
-    return {"inner": table(short[0], True), "either": table(short[1], True), "titles": table(lex.TITLES, True), "joined": table(lex.JOINED, False)}
+    """Hashes of the words of each list; ``width`` is one more than the longest word, so no longer word is taken for one of them."""
+    lists = {"inner": (lex.INNER, True), "either": (lex.EITHER, True), "titles": (lex.TITLES, True), "joined": (lex.JOINED, False), "dates": (lex.DATES, True)}
+    spelt = {k: sorted({unicodedata.normalize(form, w) for w in words for form in ("NFC", "NFD")}) for k, (words, _) in lists.items()}
+    width = 1 + max(len(w) for words in spelt.values() for w in words)
+    out = {"width": np.array(width)}
+    for name, (_, backwards) in lists.items():
+        rows = np.zeros((len(spelt[name]), width), np.uint32)
+        for i, w in enumerate(spelt[name]):
+            rows[i, : len(w)] = [ord(x) for x in (w[::-1] if backwards else w)]
+        out[name] = np.sort(_hash(rows))
+    return out
 
 
 def _among(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -118,9 +127,9 @@ def _among(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
 def _before(u: np.ndarray, i: np.ndarray) -> np.ndarray:
     """The word that ends just before each index: its last characters, backwards, in lower case."""
     t = _tables()
-    at = i[:, None] - 1 - np.arange(_LENGTH)
+    at = i[:, None] - 1 - np.arange(int(_lexicon()["width"]))
     c = u[np.maximum(at, 0)]
-    stop = (at < 0) | t["blank"][c] | t["open"][c] | (c == 0x2019)
+    stop = (at < 0) | t["blank"][c] | t["open"][c] | (c == 0x2019) | (c == 0x27)
     c = np.where(np.logical_or.accumulate(stop, axis=1), 0, t["low"][c])
     return c
 
@@ -128,12 +137,28 @@ def _before(u: np.ndarray, i: np.ndarray) -> np.ndarray:
 def _after(u: np.ndarray, i: np.ndarray) -> np.ndarray:
     """The letters that begin at each index, in lower case."""
     t = _tables()
-    at = i[:, None] + np.arange(_LENGTH)
+    at = i[:, None] + np.arange(int(_lexicon()["width"]))
     c = u[np.minimum(at, len(u) - 1)]
     stop = (at >= len(u)) | ~t["letter"][c]
     return np.where(np.logical_or.accumulate(stop, axis=1), 0, t["low"][c])
 
 
+def _reach(goes_on: np.ndarray) -> np.ndarray:
+    """For each index, the first one from there on at which ``goes_on`` is false; one more than the last if there is none."""
+    n = len(goes_on)
+    stop = np.where(goes_on, n, np.arange(n))
+    return np.append(np.minimum.accumulate(stop[::-1])[::-1], n)
+
+
+def _since(goes_on: np.ndarray) -> np.ndarray:
+    """For each index, where the run of true values that it lies in begins; itself where it is false."""
+    at = np.arange(len(goes_on))
+    fresh = ~goes_on
+    fresh[1:] |= ~goes_on[:-1]
+    fresh[:1] = True
+    return np.maximum.accumulate(np.where(fresh, at, 0))
+
+
 def _pairs(u: np.ndarray, zone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Outermost matched brackets and quotations, inside one zone each: (open, close)."""
     at = np.flatnonzero(_tables()["bracket"][u])
@@ -218,15 +243,12 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     log = has & spoken & (_digits(u, log_at, "0000-00-00T00:00"))
     space1 = t["white"][c1] & (f0 + 1 < l0)
     bullet = t["bullet"][c0] & space1
-    number = np.zeros(len(s), bool)
     marker_end = f0 + 1
-    run = (c0 >= 48) & (c0 <= 57)
-    for k in (1, 2, 3):
-        x, y = u[np.minimum(f0 + k, n - 1)], u[np.minimum(f0 + k + 1, n - 1)]
-        here = run & ((x == ord(".")) | (x == ord(")"))) & t["white"][y] & (f0 + k + 1 < l0)
-        number |= here
-        marker_end = np.where(here, f0 + k, marker_end)
-        run &= (x >= 48) & (x <= 57)
+    # A number of any length with a point or bracket after it.
+    past = _reach((u >= 48) & (u <= 57))[f0]
+    x, y = u[np.minimum(past, n - 1)], u[np.minimum(past + 1, n - 1)]
+    number = (past > f0) & (past < n) & ((x == ord(".")) | (x == ord(")"))) & t["white"][y] & (past + 1 < l0)
+    marker_end = np.where(number, past, marker_end)
     number |= t["letter"][c0] & (c1 == ord(")")) & t["white"][u[np.minimum(f0 + 2, n - 1)]]
     head = has & spoken & ~log & t["head"][c0]
     hashes = c0 == ord("#")
@@ -275,16 +297,16 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     nxt = i + 1
     pair_open = np.zeros(n + 1, bool)
     pair_open[opened] = True
-    for _ in range(3):
-        x = u[np.minimum(nxt, n - 1)]
-        more = (nxt < n) & t["close"][x] & ~pair_open[np.minimum(nxt, n)] & (per_char[np.minimum(nxt, n - 1)] == per_char[i])
-        nxt = nxt + more
+    closing = t["close"][u] & ~pair_open[:n]
+    closing[1:] &= (per_char[1:] == per_char[:-1])
+    nxt = _reach(closing)[nxt]
     c = u[i]
     kind = np.full(len(i), DOT)
-    before_run = i.copy()
-    for _ in range(8):
-        step = (before_run > 0) & t["term"][u[np.maximum(before_run - 1, 0)]] & ~begins[before_run]
-        before_run = before_run - step
+    # The first of the marks that stand together; what precedes it is the word before.
+    follows = t["term"][u] & ~begins[:n]
+    follows[1:] &= t["term"][u[:-1]]
+    follows[:1] = False
+    before_run = np.maximum(_since(follows)[i] - follows[i], 0)
     kind[(c == ord("…")) | ((c == ord(".")) & (before_run < i))] = DOTS
     kind[t["always"][c]] = ASK
     kind[t["wide"][c]] = WIDE
@@ -297,7 +319,7 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     x = u[np.minimum(nxt, n - 1)]
     spaced = (nxt >= n) | t["blank"][x] | begins[np.minimum(nxt, n)]
     # A narrow mark without space after it ends nothing, unless a script without spaces goes on.
-    ok &= spaced | (kind == WIDE) | ((kind == ASK) & t["cjk"][x] & t["cjk"][p])
+    ok &= spaced | (kind == WIDE) | ((kind == ASK) & t["packed"][x] & t["packed"][p])
     i, nxt, kind, before_run, spaced = i[ok], nxt[ok], kind[ok], before_run[ok], spaced[ok]
 
     # Ends of quotations and brackets whose last word is a sentence's end.
@@ -321,16 +343,18 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         colon_before = ~at_start & ((cq == ord(":")) | (cq == ord("：")) | (cq == ord(",")) | (cq == ord("，")))
         is_quote = np.isin(u[o], [ord(x) for x in _QUOTES])
 
-    # Spaces between Thai letters.
-    th = t["thai"][u]
+    # Spaces between letters of a script without sentence marks.
     gaps = np.zeros(0, np.int64)
-    if th.any():
-        b = np.flatnonzero(th[:-1] & blank[1:])
-        k = np.searchsorted(full, b + 1)
-        ok = k < len(full)
-        b, to = b[ok], full[np.minimum(k, len(full) - 1)][ok]
-        ok = th[to] & (per_char[b] == per_char[to]) & ~whole[per_char[b]]
-        gaps = b[ok]
+    for script in ("thai", "lao"):
+        th = t[script][u]
+        if th.any():
+            b = np.flatnonzero(th[:-1] & blank[1:])
+            k = np.searchsorted(full, b + 1)
+            ok = k < len(full)
+            b, to = b[ok], full[np.minimum(k, len(full) - 1)][ok]
+            ok = th[to] & (per_char[b] == per_char[to]) & ~whole[per_char[b]]
+            gaps = np.concatenate([gaps, b[ok]])
+    if len(gaps):
         if len(opened) and len(gaps):
             j = np.searchsorted(opened, gaps) - 1
             gaps = gaps[~((j >= 0) & (gaps < closed[np.maximum(j, 0)]))]
@@ -361,45 +385,47 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         h = _hash(w)
         table = _lexicon()
         word[:m][_among(h, table["either"])] = EITHER
+        word[:m][_among(h, table["dates"])] = DATE
         word[:m][_among(h, table["inner"])] = INNER
         long = (w != 0).sum(axis=1)
         capital = t["upper"][u[np.maximum(before_run - np.maximum(long, 1), 0)]]
         word[:m][_among(h, table["titles"]) & capital] = INNER
-        single = t["letter"][w[:, 0]] & (w[:, 1] == 0) & ~t["cjk"][w[:, 0]]
+        # One letter by itself, not the rest of a word after an apostrophe ("isn't.").
+        apart = u[np.maximum(before_run - 2, 0)]
+        single = t["letter"][w[:, 0]] & (w[:, 1] == 0) & ~t["cjk"][w[:, 0]] & (apart != 0x27) & (apart != 0x2019)
         word[:m][single & ((word[:m] == PLAIN) | (capital & (word[:m] == EITHER)))] = INITIAL
         word[:m][t["digit"][w[:, 0]] & (word[:m] == PLAIN)] = NUMBER
+        # Words that nobody could speak are abbreviations, known or not: short, spelt in letters, no vowel, not all capitals.
+        raw = u[np.maximum(before_run[:, None] - 1 - np.arange(w.shape[1]), 0)]
+        letters = (w == 0) | t["spelt"][w]
+        shouted = ((w == 0) | t["upper"][raw]).all(axis=1)
+        mute = (long > 1) & (long < 6) & letters.all(axis=1) & ~(t["vowel"][w] & (w != 0)).any(axis=1) & ~shouted
+        # A unit after its number ("5 km.") can end a sentence like any word.
+        unit = np.maximum(before_run - long - 2, 0)
+        mute &= ~(t["digit"][u[unit]] & blank[np.minimum(unit + 1, n - 1)])
+        word[:m][mute & (word[:m] == PLAIN)] = MUTE
         word[:m][kind != DOT] = PLAIN
     joined = _among(_hash(_after(u, to)), _lexicon()["joined"]) & goes_on
-    # The underscore must lie inside the next word itself.
-    reach = np.zeros(len(at), bool)
-    alive = np.ones(len(at), bool)
-    for k in range(12):
-        c = u[np.minimum(to + k, n - 1)]
-        reach |= alive & (c == ord("_"))
-        alive &= t["alnum"][c] | (c == ord("_"))
-    named = reach & goes_on
+    # Whether the next word is an identifier: it has an underscore, a digit or a capital inside.
+    part = t["alnum"][u] | (u == ord("_"))
+    odd = (u == ord("_")) | t["digit"][u]
+    odd[1:] |= t["upper"][u[1:]] & t["lower"][u[:-1]]
+    so_far = np.append(0, np.cumsum(odd & part))
+    under = x == ord("_")
+    named = (so_far[_reach(part)[to]] - so_far[np.minimum(to + ~under, n)] > 0) & (t["letter"][x] | under) & goes_on
     close = np.zeros(len(at), np.int64)
     close[m : m + mc] = 1 + is_quote + 2 * at_start + 4 * colon_before
     kana = t["kana"][x] & goes_on
-    features = np.stack(
-        [
-            kinds,
-            7 + kinds * 8 + nx,
-            7 + 56 + word * 8 + nx,
-            7 + 56 + 40 + close * 8 + nx,
-            7 + 56 + 40 + 72 + joined,
-            7 + 56 + 40 + 72 + 2 + named,
-            7 + 56 + 40 + 72 + 4 + np.where(kinds == CLOSE, 1 + kana, 0),
-            7 + 56 + 40 + 72 + 7 + np.where(kinds[:] == DOT, 1 + word, 0),
-            7 + 56 + 40 + 72 + 13 + np.where(named, 1 + word, 0),
-        ],
-        axis=1,
-    )
+    columns = [kinds, kinds * 8 + nx, word * 8 + nx, close * 8 + nx, joined, named, np.where(kinds == CLOSE, 1 + kana, 0), np.where(kinds == DOT, 1 + word, 0), np.where(named, 1 + word, 0)]
+    features = np.stack([c + first for c, first in zip(columns, _FIRST, strict=True)], axis=1)
     order = np.lexsort((at, z))
     return {"hard": starts, "whole": whole, "at": at[order], "zone": z[order], "features": features[order], "full": full, "blank": blank, "words": words}
 
 
-FEATURES = 7 + 56 + 40 + 72 + 13 + 6
+#: How many values each group of features has, and where each group begins.
+_GROUPS = (7, 56, 56, 72, 2, 2, 3, 8, 8)
+_FIRST = [sum(_GROUPS[:i]) for i in range(len(_GROUPS))]
+FEATURES = sum(_GROUPS)
 
 
 def viterbi(zone: np.ndarray, score: np.ndarray, step: np.ndarray) -> np.ndarray:
@@ -503,7 +529,7 @@ def expectations(zone: np.ndarray, score: np.ndarray, step: np.ndarray) -> tuple
 
 
 @cache
-def model(seed: int = 7, paragraphs: int = 2500, rounds: int = 120, rate: float = 0.25, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+def model(seed: int = 7, paragraphs: int = 5000, rounds: int = 120, rate: float = 0.25, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the features and of the steps between tags, by conditional likelihood."""
     texts, marks = _training_texts(seed, paragraphs)
     u, first = _lay(texts)

@@ -70,18 +70,36 @@ def test_short_first_sentence_of_an_item_without_spaces():
     assert split("步骤：\n1. 完了。次へ。") == ["步骤：", "1. 完了。", "次へ。"]
 
 
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ["Capt. Smith met Lt. Jones.", "They left."], ["It was on Jan. 5, not Sept. 9.", "Why?"], ["Il dott. Rossi è qui.", "Bene."], ["Msgr. Bell spoke.", "He ran 5 km.", "She isn't.", "Then he slept."],
+        ["ទ្វារបិទ។", "ហេតុអ្វី?"], ["တံခါး ပိတ်သည်။", "သူလာသည်။"], ["Նավը եկավ։", "Նա գնաց։"], ["ጀልባው መጣ።", "ሄደ።"],
+        ["Wait" + "." * 40 + "!" * 30, "Yes" + ")" * 9 + ".", "It is done." + ")" * 7, "The end."],
+    ],
+)
+def test_words_and_marks_of_any_kind_and_length(parts):
+    assert split(" ".join(parts)) == parts
+
+
+def test_lists_with_long_numbers_and_lao():
+    assert split("Steps:\n10234. Go there. Stop.\n10235. Sit down.") == ["Steps:", "10234. Go there.", "Stop.", "10235. Sit down."]
+    assert split("ເຮືອອອກແລ້ວ ກະແຈຢູ່ໃສ") == ["ເຮືອອອກແລ້ວ", "ກະແຈຢູ່ໃສ"]
+
+
 @pytest.mark.parametrize("text", ["", " ", "\n\n", "....", "﻿", "!?", "-----\n***", "   \r\n\t"])
 def test_nothing(text):
     assert split(text) == []
 
 
-def test_held_out_paragraphs():
+def test_paragraphs_of_training_sentences():
+    # Other paragraphs of the sentences that the model learned from; test_sentences_held_out has new sentences.
     texts, marks = ss._training_texts(12345, 1500)
     of, a, _ = ss.spans(texts, ss.model())
     got = {(int(o), int(x)) for o, x in zip(of, a, strict=True) if x}
     want = {(i, m) for i, ms in enumerate(marks) for m in ms}
     hit = len(got & want)
-    assert hit / len(got) > 0.995 and hit / len(want) > 0.99
+    assert hit / len(got) > 0.995 and hit / len(want) > 0.995
 
 
 def test_viterbi_and_expectations_against_enumeration():
