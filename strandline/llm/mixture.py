@@ -3,15 +3,14 @@
 A plan wants each source to fill its share of the plan's tokens.  A source's documents are first taken
 in whole copies, as often as they fit; what is left of the target is one more copy of some documents.
 These are the first in order of their ranking number, the odds of a uniform number divided by the odds
-of the document's inclusion probability, until their tokens reach what is left: a sample of fixed size
+of the document's inclusion probability, that still fit into what is left: a sample of fixed size
 with the given, possibly unequal, probabilities.  Last, one further document, or one in place of a
-sampled one, is taken if that closes the remaining gap better.  Where a gap of more than two tokens is
-left, the document that crossed the target is passed over: the next ones in rank order that still fit
-are taken first, again and again while any fits, and the try that comes nearest to the target holds.
+sampled one, is taken if that closes the remaining gap better.
 
-No source is ever sorted in one task.  The ranking numbers are cut into 4,096 steps and those of one
-step into 4,096 again; sums per step, gathered map-side, tell where the target is reached, and only
-the documents of that one small step are ordered.
+No source is ever sorted in one task.  The ranking numbers are cut into steps of about ``STEP_ROWS``
+documents; sums per step, gathered map-side, tell in which step the target is crossed, and all earlier
+steps are taken whole.  From there on documents are looked at in order, ``LOOK`` at a time, and taken
+if they fit, until no document is left that does.
 
 Defined results
 - Sources match after trimming white space and in lower case; a null source matches nothing, but its
@@ -20,22 +19,26 @@ Defined results
 - A plan's total is its fraction of the tokens of all documents.  A source that can't reach its target
   within its limit is used up to the limit; its share isn't given to others.
 - Documents without tokens are never chosen.  The uniform numbers are hashes of plan, document and
-  seed, so a run can be repeated; equal numbers are ordered by id.
+  seed, so a run can be repeated; equal numbers are ordered by id.  Ids are unique whole numbers.
 - Sources without documents have actual share 0.  Empty tables give no documents.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.storage import materialise
 from .tokens import encode_documents
 
-STEPS = 4096
+#: Documents of a step, about, and the most steps that a source has.
+STEP_ROWS, MOST_STEPS = 2048, 1 << 24
+#: Documents that are looked at together after the crossing; more are looked at as long as one could fit.
+LOOK = 8192
 #: Plans and sources are broadcast up to this many rows.
 BROADCAST_ROWS = 100_000
-#: Tokens by which a source may miss its target before further documents are tried.
-SLACK = 2
 _PAIR = ["plan_id", "source"]
 
 
@@ -63,7 +66,7 @@ def allocate(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.max(F.coalesce("max_repeats", F.lit(0))).alias("limit"),
         F.max(F.coalesce("total_fraction", F.lit(0.0))).alias("fraction"),
     )
-    have = sizes.groupBy("source").agg(F.sum("tokens").alias("have"))
+    have = sizes.groupBy("source").agg(F.sum("tokens").alias("have"), F.count_if(F.col("tokens") > 0).alias("rows"))
     total = sizes.agg(F.sum("tokens").alias("total")).first()["total"] or 0
     joined = plans.join(have, "source", "left")
     have_ = F.coalesce(F.col("have"), F.lit(0))
@@ -72,7 +75,7 @@ def allocate(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     want = F.least(target, (F.col("limit") * have_).cast("double"))
     whole = F.when(have_ > 0, F.floor(want / have_)).otherwise(0).cast("int")
     out = joined.select(
-        *_PAIR, "weight", have_.alias("have"), plan_total.alias("plan_total"), target.alias("target_tokens"), want.alias("want"), whole.alias("whole")
+        *_PAIR, "weight", have_.alias("have"), F.greatest(F.ceil(F.coalesce("rows", F.lit(0)) / STEP_ROWS), F.lit(1)).cast("bigint").alias("steps"), plan_total.alias("plan_total"), target.alias("target_tokens"), want.alias("want"), whole.alias("whole")
     )
     left = F.greatest(F.col("want") - F.col("whole") * F.col("have"), F.lit(0.0))
     return out.withColumn("left", left).withColumn("scale", F.when(F.col("have") > 0, left / F.col("have")).otherwise(0.0))
@@ -99,67 +102,84 @@ def _solve(rows: DataFrame, plans: DataFrame, small: bool) -> DataFrame:
     return plans.drop("certain")
 
 
-def _reach(sums: DataFrame, plans: DataFrame, step: str, left: str) -> DataFrame:
-    """Per plan and source: the last step wholly inside the target, the tokens up to it, and the step
-    that crosses the target (null if all fit)."""
-    run = sums.withColumn("upto", F.sum("tokens").over(Window.partitionBy(*_PAIR).orderBy(step)))
-    inside = F.col("upto") <= F.col(left)
-    return run.join(plans.select(*_PAIR, left), _PAIR).groupBy(*_PAIR).agg(
-        F.max(F.when(inside, F.col(step))).alias("last"), F.max(F.when(inside, F.col("upto"))).alias("before"), F.min(F.when(~inside, F.col(step))).alias("next")
-    )
-
-
-def _prefix(sampled: DataFrame, goal: DataFrame, small: bool) -> DataFrame:
-    """``goal`` with the place up to which ``sampled`` fits into what is left in rank order, and the gap after it."""
-    coarse = _reach(sampled.groupBy(*_PAIR, "step").agg(F.sum("tokens").alias("tokens")), goal, "step", "left")
-    first = _written(
-        goal.join(coarse, _PAIR, "left").select(
-            *_PAIR, "left", "open", F.coalesce("last", F.lit(-1)).alias("c"), F.col("next").alias("cross"), (F.col("left") - F.coalesce("before", F.lit(0))).alias("left1")
-        ),
-        small,
-    )
-    inner = sampled.join(first, _PAIR).where("step = cross")
-    fine = _reach(inner.groupBy(*_PAIR, "fine").agg(F.sum("tokens").alias("tokens")), first, "fine", "left1")
-    second = _written(
-        first.join(fine, _PAIR, "left").select(
-            *_PAIR, "left", "open", "c", "cross", F.coalesce("last", F.lit(-1)).alias("f"), F.col("next").alias("fcross"), (F.col("left1") - F.coalesce("before", F.lit(0))).alias("left2")
-        ),
-        small,
+def _crossing(ranked: DataFrame, plans: DataFrame) -> DataFrame:
+    """Per plan and source with something left: the step that crosses it (null if all fits), and what is left before that step."""
+    sums = ranked.groupBy(*_PAIR, "step").agg(F.sum("tokens").alias("tokens"))
+    run = sums.withColumn("upto", F.sum("tokens").over(Window.partitionBy(*_PAIR).orderBy("step")))
+    inside = F.col("upto") <= F.col("left")
+    reach = run.join(plans.select(*_PAIR, "left"), _PAIR).groupBy(*_PAIR).agg(
+        F.max(F.when(inside, F.col("upto"))).alias("before"), F.min(F.when(~inside, F.col("step"))).alias("cross")
     )
+    return plans.select(*_PAIR, "left").join(reach, _PAIR, "left").select(*_PAIR, "cross", (F.col("left") - F.coalesce("before", F.lit(0))).alias("gap"))
+
+
+def _first_fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one plan and source that fit, in order; the last row, without a document, has the
+    place that was reached, what is left, and whether more may follow."""
+    pdf = pdf.sort_values(["place", "doc_id"], kind="stable")
+    gap, taken = float(pdf["gap"].iloc[0]), []
+    for i, t in enumerate(pdf["tokens"].tolist()):
+        if t <= gap:
+            gap -= t
+            taken.append(i)
+    last = pdf.iloc[-1]
+    rows = [(int(pdf["doc_id"].iloc[i]), None, None, None, None) for i in taken]
+    rows.append((None, float(last["place"]), int(last["doc_id"]), gap, len(pdf) == LOOK and gap > 0))
+    out = pd.DataFrame(rows, columns=["doc_id", "at_place", "at_doc", "gap", "more"])
+    out[["doc_id", "at_doc"]] = out[["doc_id", "at_doc"]].astype("Int64")
+    out.insert(0, "plan_id", last["plan_id"])
+    out.insert(1, "source", last["source"])
+    return out
+
+
+def _fill(ranked: DataFrame, crossing: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
+    """(plan_id, source, doc_id) taken from the crossing step on, and (plan_id, source, gap) in the end."""
+    place = ranked.schema["plan_id"].dataType.simpleString()
+    schema = f"plan_id {place}, source string, doc_id bigint, at_place double, at_doc bigint, gap double, more boolean"
+    at = crossing.where("cross IS NOT NULL").select(*_PAIR, "gap", F.col("cross").alias("from_step"), F.lit(-1.0).alias("at_place"), F.lit(None).cast("bigint").alias("at_doc"))
+    taken, ends, turn = [], [], 0
     order = Window.partitionBy(*_PAIR).orderBy("place", "doc_id")
-    last = sampled.join(second, _PAIR).where("step = cross AND fine = fcross")
-    last = last.withColumn("upto", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("upto <= left2")
-    ends = last.groupBy(*_PAIR).agg(F.max(F.struct("place", "doc_id")).alias("end"), F.max("upto").alias("upto"))
-    return _written(
-        second.join(ends, _PAIR, "left").select(*_PAIR, "left", "open", "c", "cross", "f", "fcross", "end", (F.col("left2") - F.coalesce("upto", F.lit(0))).alias("gap")),
-        small,
-    )
+    while True:
+        beyond = (F.col("place") > F.col("at_place")) | ((F.col("place") == F.col("at_place")) & (F.col("doc_id") > F.col("at_doc")))
+        rows = ranked.join(at, _PAIR).where((F.col("step") >= F.col("from_step")) & (F.col("tokens") <= F.col("gap")) & beyond)
+        near = rows.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= LOOK).select(*_PAIR, "doc_id", "tokens", "place", "gap")
+        found = materialise(near.groupBy(*_PAIR).applyInPandas(_first_fit, schema), "mixture")
+        taken.append(found.where("doc_id IS NOT NULL").select(*_PAIR, "doc_id"))
+        ends.append(found.where("doc_id IS NULL").select(*_PAIR, "gap", F.lit(turn).alias("turn")))
+        turn += 1
+        more = found.where("more")
+        if not more.limit(1).count():
+            break
+        at = more.select(*_PAIR, "gap", F.lit(0).cast("bigint").alias("from_step"), "at_place", "at_doc")
+        at = F.broadcast(at) if small else at
+    gaps = crossing.select(*_PAIR, "gap", F.lit(-1).alias("turn"))
+    for e in ends:
+        gaps = gaps.unionByName(e)
+    gaps = gaps.groupBy(*_PAIR).agg(F.max_by("gap", "turn").alias("gap"))
+    return reduce(DataFrame.unionByName, taken), gaps
 
 
 def _close(marked: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Per plan and source: the gap, the tokens by which the best end misses the target, the document more
-    and the one it replaces (null if there is none), and the least size that is free.
+    """Per plan and source: the document more and the one it replaces (null if there is none) that come
+    nearest to the gap, if that is nearer than nothing.
 
     Sizes stand for documents, so what is sorted is at most as long as the longest document.
     """
-    rows = marked.where("place IS NOT NULL").join(gaps, _PAIR)
-    free = rows.where("taken_in IS NULL").groupBy(*_PAIR, "gap", "tokens").agg(F.min(F.struct("place", "doc_id")).alias("y"))
-    held = rows.where("taken_in IS NOT NULL").groupBy(*_PAIR, "gap", "tokens").agg(F.max(F.struct("place", "doc_id")).alias("x"))
-    error = F.abs(F.col("gap") - F.col("tokens"))
-    one_more = free.select(*_PAIR, "gap", error.alias("off"), F.lit(0).alias("swap"), F.col("y.doc_id").alias("fill"), F.lit(None).alias("drop"))
-    # The nearest size on either side of the one that a held document would have to be replaced by.
-    there = free.select(*_PAIR, "gap", F.col("tokens").cast("double").alias("at"), F.struct("tokens", F.col("y.doc_id").alias("doc_id")).alias("f"), F.lit(None).alias("less"), F.lit(None).alias("drop"))
-    wanted = held.select(*_PAIR, "gap", (F.col("tokens") + F.col("gap")).alias("at"), F.lit(None).alias("f"), F.col("tokens").alias("less"), F.col("x.doc_id").alias("drop"))
-    seen = [F.last("f", ignorenulls=True).over(Window.partitionBy(*_PAIR).orderBy(o).rangeBetween(Window.unboundedPreceding, 0)) for o in (F.asc("at"), F.desc("at"))]
-    near = there.unionByName(wanted).select(*_PAIR, "gap", "less", "drop", F.array(*seen).alias("near")).where("less IS NOT NULL")
-    swaps = near.select(*_PAIR, "gap", "less", "drop", F.explode("near").alias("f")).where("f IS NOT NULL").select(
-        *_PAIR, "gap", F.abs(F.col("gap") - (F.col("f.tokens") - F.col("less"))).alias("off"), F.lit(1).alias("swap"), F.col("f.doc_id").alias("fill"), "drop"
+    rows = marked.join(gaps.where("gap > 0"), _PAIR).groupBy(*_PAIR, "gap", "tokens").agg(
+        F.min(F.when(~F.col("taken"), F.struct("place", "doc_id"))).alias("y"), F.max(F.when(F.col("taken"), F.struct("place", "doc_id"))).alias("x")
     )
-    best = one_more.unionByName(swaps).where("off < gap").groupBy(*_PAIR).agg(F.min(F.struct("off", "swap", "fill", "drop")).alias("b"))
-    least = free.groupBy(*_PAIR).agg(F.min("tokens").alias("least"))
-    return gaps.join(best, _PAIR, "left").join(least, _PAIR, "left").select(
-        *_PAIR, "gap", F.coalesce("b.off", "gap").alias("off"), F.col("b.fill").alias("fill"), F.col("b.drop").alias("drop"), "least"
+    size = F.col("tokens").cast("double")
+    # A free size stands where it would close the gap by itself; a held one where a free one would have to be to take its place.
+    points = rows.select(*_PAIR, "gap", F.explode(F.array_compact(F.array(
+        F.when(F.col("y").isNotNull(), F.struct(size.alias("at"), F.struct(size.alias("tokens"), F.col("y.doc_id").alias("doc_id")).alias("f"), F.lit(None).cast("double").alias("less"), F.lit(None).cast("bigint").alias("drop"))),
+        F.when(F.col("x").isNotNull(), F.struct((size + F.col("gap")).alias("at"), F.lit(None).cast("struct<tokens: double, doc_id: bigint>").alias("f"), size.alias("less"), F.col("x.doc_id").alias("drop"))),
+    ))).alias("p")).select(*_PAIR, "gap", "p.*")
+    seen = [F.last("f", ignorenulls=True).over(Window.partitionBy(*_PAIR).orderBy(o).rangeBetween(Window.unboundedPreceding, 0)) for o in (F.asc("at"), F.desc("at"))]
+    near = points.withColumn("near", F.array_compact(F.array(*seen)))
+    tries = near.select(*_PAIR, "gap", "less", "drop", F.explode(F.when(F.col("less").isNull(), F.array("f")).otherwise(F.col("near"))).alias("f")).select(
+        *_PAIR, "gap", F.abs(F.col("gap") - (F.col("f.tokens") - F.coalesce("less", F.lit(0.0)))).alias("off"), F.col("less").isNotNull().alias("swap"), F.col("f.doc_id").alias("fill"), "drop"
     )
+    return tries.where("off < gap").groupBy(*_PAIR).agg(F.min(F.struct("off", "swap", "fill", "drop")).alias("b")).select(*_PAIR, "b.fill", "b.drop")
 
 
 def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -179,36 +199,27 @@ def choose(sizes: DataFrame, targets: DataFrame, seed: int = 20240613, weight: s
     chance = F.least(F.col("scale") * F.col("w"), F.lit(1.0 - 1e-12))
     u = (F.pmod(F.xxhash64("plan_id", "doc_id", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     odds = (u / (1 - u)) * (1 - F.col("chance")) / F.col("chance")
+    # Ranking numbers are spread evenly over the steps where all odds are equal; with unequal ones steps differ in size.
+    steps = F.least(F.col("steps"), F.lit(MOST_STEPS))
     ranked = (
-        rows.join(plans.select(*_PAIR, "scale", "left"), _PAIR)
+        rows.join(plans.select(*_PAIR, "scale", "left", "steps"), _PAIR)
         .withColumn("chance", chance)
         .withColumn("place", F.when((F.col("chance") > 0) & (F.col("left") > 0), odds / (1 + odds)))
-        .withColumn("at", F.floor(F.col("place") * (STEPS * STEPS)).cast("bigint"))
-        .select(*_PAIR, "doc_id", "tokens", "whole", "place", F.shiftright("at", 12).alias("step"), F.col("at").bitwiseAND(F.lit(STEPS - 1).cast("bigint")).alias("fine"))
+        .withColumn("step", F.floor(F.col("place") * steps).cast("bigint"))
+        .select(*_PAIR, "doc_id", "tokens", "whole", "place", "step")
     )
-    marked = ranked.withColumn("taken_in", F.lit(None).cast("int"))
-    goal, passes = plans.select(*_PAIR, "left", F.lit(True).alias("open")), []
-    while not passes or goal.where("open").limit(1).count():
-        fits = F.col("place").isNotNull() & F.col("taken_in").isNull() & F.col("open") & (F.lit(not passes) | (F.col("tokens") <= F.col("left")))
-        ends = _prefix(marked.join(goal, _PAIR).where(fits).drop("left", "open"), goal, small)
-        taken = (
-            (F.col("step") <= F.col("c"))
-            | ((F.col("step") == F.col("cross")) & (F.col("fine") <= F.col("f")))
-            | ((F.col("step") == F.col("cross")) & (F.col("fine") == F.col("fcross")) & F.coalesce(F.struct("place", "doc_id") <= F.col("end"), F.lit(False)))
-        )
-        marked = marked.join(ends, _PAIR).withColumn("taken_in", F.when(fits & taken, len(passes)).otherwise(F.col("taken_in"))).select(*ranked.columns, "taken_in")
-        closed = _written(_close(marked, ends.select(*_PAIR, "gap")).withColumn("pass", F.lit(len(passes))), small)
-        passes.append(closed)
-        goal = closed.select(*_PAIR, F.col("gap").alias("left"), F.coalesce((F.col("off") > SLACK) & (F.col("least") <= F.col("gap")), F.lit(False)).alias("open"))
-    tried = passes[0]
-    for other in passes[1:]:
-        tried = tried.unionByName(other)
-    best = tried.groupBy(*_PAIR).agg(F.min(F.struct("off", "pass", "fill", "drop")).alias("b"))
-    filler = _written(best.select(*_PAIR, "b.pass", "b.fill", "b.drop"), small)
-    kept = F.coalesce(F.col("taken_in") <= F.col("pass"), F.lit(False)) & F.coalesce(F.col("doc_id") != F.col("drop"), F.lit(True))
+    ranked = materialise(ranked, "ranked")
+    live = ranked.where("place IS NOT NULL")
+    crossing = _written(_crossing(live, plans), small)
+    taken, gaps = _fill(live, crossing, small)
+    taken = taken.withColumn("__taken", F.lit(True))
+    marked = live.join(crossing.select(*_PAIR, "cross"), _PAIR).join(taken, [*_PAIR, "doc_id"], "left")
+    marked = marked.withColumn("taken", F.col("__taken").isNotNull() | F.coalesce(F.col("step") < F.col("cross"), F.lit(True))).select(*_PAIR, "doc_id", "tokens", "place", "taken")
+    changes = _written(_close(marked, gaps), small)
+    picked = ranked.join(crossing.select(*_PAIR, "cross"), _PAIR, "left").join(changes, _PAIR, "left").join(taken, [*_PAIR, "doc_id"], "left")
+    kept = F.col("place").isNotNull() & (F.col("__taken").isNotNull() | F.coalesce(F.col("step") < F.col("cross"), F.col("cross").isNull())) & F.coalesce(F.col("doc_id") != F.col("drop"), F.lit(True))
     uses = F.col("whole") + (kept | F.coalesce(F.col("doc_id") == F.col("fill"), F.lit(False))).cast("int")
-    chosen = marked.join(filler, _PAIR, "left").select(*_PAIR, "doc_id", "tokens", uses.alias("uses")).where("uses > 0")
-    return chosen, plans
+    return picked.select(*_PAIR, "doc_id", "tokens", uses.alias("uses")).where("uses > 0"), plans
 
 
 def shares(chosen: DataFrame, plans: DataFrame) -> DataFrame:
@@ -228,7 +239,11 @@ def shares(chosen: DataFrame, plans: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Chosen documents and shares of every plan."""
-    chosen, plans = choose(materialise(token_counts(docs), "tokens"), targets)
+def mix(docs: DataFrame, targets: DataFrame, by_size: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Chosen documents and shares of every plan; with ``by_size`` a document's inclusion odds follow the
+    square root of its size, so long ones are taken more often."""
+    sizes = materialise(token_counts(docs), "tokens")
+    if by_size:
+        sizes = sizes.withColumn("weight", F.sqrt("tokens"))
+    chosen, plans = choose(sizes, targets, weight="weight" if by_size else None)
     return chosen, shares(chosen, plans)
