@@ -271,8 +271,16 @@ def tokenise(df: DataFrame, columns: Sequence[str], key: str, pii_type: str) ->
     return df.withColumns({c: token(F.col(c).cast("string"), key, pii_type) for c in columns})
 
 
-def detokenise(df: DataFrame, column: str, tokens: DataFrame) -> DataFrame:
-    """Tokens replaced by their plain text where it is known; others become null."""
+def token_use(before: DataFrame, now: DataFrame) -> DataFrame:
+    """One row: tokens of ``now`` that the map ``before`` has already, and new ones."""
+    seen = before.select("token").distinct().withColumn("__s", F.lit(True))
+    both = now.select("token").where("token IS NOT NULL").distinct().join(seen, "token", "left")
+    return both.agg(F.count_if(F.col("__s").isNotNull()).alias("reused"), F.count_if(F.col("__s").isNull()).alias("new"))
+
+
+def detokenise(df: DataFrame, column: str, tokens: DataFrame, status: Sequence[str] = ()) -> DataFrame:
+    """Tokens replaced by their plain text where it is known, and, if states are given, only where the token is in one; others become null."""
+    tokens = tokens.where(F.col("Status").isin(*status)) if status else tokens
     known = tokens.select(F.col("token").alias("__t"), F.col("plaintext").alias("__p"))
     return df.join(known, F.col(column) == F.col("__t"), "left").withColumn(column, F.col("__p")).drop("__t", "__p")
 

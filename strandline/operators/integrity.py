@@ -111,6 +111,27 @@ def integrity(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
     return out
 
 
+def samples(bronze: DataFrame, keys: Sequence[str], most: int = 5) -> DataFrame:
+    """(check_name, keys): for each of the row checks and interval checks, its first keys that offend, in order of key.
+
+    Each check sorts only the distinct keys that offend, and a limit keeps a few per task.
+    """
+    flag, op, end, send = (F.col(c) for c in ("UdmActiveFlag", "UdmScd2Operation", "UdmEndDateTime", "UdmSourceEndDate"))
+    rows = {
+        "missing_sentinel": (flag == 1) & (send.isNull() | (send != _ts(SENTINEL))),
+        "active_with_end": (flag == 1) & end.isNotNull(),
+        "bad_flag": flag.isNull() | ~flag.isin(*FLAGS),
+        "bad_operation": op.isNull() | ~op.isin(*OPERATIONS),
+        "in_flight": in_flight(),
+        "deleted_without_end": (flag == 2) & end.isNull(),
+        "deleted_with_sentinel": (flag == 2) & (send == _ts(SENTINEL)),
+    }
+    whole = bronze.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    found = {n: whole.where(c).select(*keys).distinct() for n, c in rows.items()}
+    found |= {"overlap": overlapping(bronze, keys), "version_gap": version_gaps(bronze, keys), "business_overlap": business_overlapping(bronze, keys), "business_gap": business_gaps(bronze, keys)}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("check_name"), *keys).orderBy(*keys).limit(most) for n, df in found.items()])
+
+
 def repair_sentinel(bronze: DataFrame) -> DataFrame:
     """Active versions get the business sentinel where it is missing."""
     fill = (F.col("UdmActiveFlag") == 1) & F.col("UdmSourceEndDate").isNull()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -51,6 +52,26 @@ def weekday_baseline(events: DataFrame, keys: Sequence[str], day: str, rows: str
     return ranked.groupBy(*keys).agg(F.floor(F.percentile(rows, 0.5)).cast("bigint").alias("baseline"))
 
 
+def daily_baseline(events: DataFrame, keys: Sequence[str], day: str, rows: str, as_of: str, days: int = 30, last: int = 14) -> DataFrame:
+    """(keys, baseline): as :func:`weekday_baseline`, but for a run among several of one day: runs of the day
+    itself count, and with fewer than two on the same weekday all runs do, however old."""
+    date = F.lit(as_of).cast("date")
+    seen = events.where(F.col(rows).isNotNull() & (F.col(day) <= date))
+    same = (F.dayofweek(day) == F.dayofweek(date)) & (F.col(day) > F.date_sub(date, days))
+    w = Window.partitionBy(*keys)
+    marked = seen.withColumn("__same", same).withColumn("__n", F.count_if(F.col("__same")).over(w))
+    used = marked.where(F.col("__same") | (F.col("__n") < 2))
+    ranked = used.withColumn("__rn", F.row_number().over(w.orderBy(F.desc(day), F.desc("EventLogId"), F.desc(rows)))).where(F.col("__rn") <= last)
+    return ranked.groupBy(*keys).agg(F.floor(F.percentile(rows, 0.5)).cast("bigint").alias("baseline"))
+
+
+def churn(stage: DataFrame, keys: Sequence[str], more_than: int = 1, top: int = 10) -> DataFrame:
+    """(keys, inserts, updates) of the keys that were inserted most often; ties by updates, then key."""
+    op = F.col("_cdc_operation")
+    per = stage.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.count_if(op == "I").alias("inserts"), F.count_if(op == "U").alias("updates"))
+    return per.where(F.col("inserts") > more_than).orderBy(F.desc("inserts"), F.desc("updates"), *keys).limit(top)
+
+
 def guard(fresh: Column, baseline: Column, override: Column | None = None, drop: float = 0.1, warn: float = 0.5, growth: float = 5.0, ceiling: int = 100_000_000) -> Column:
     """What to do with an arrival of this size: OK, WARN, BLOCK_DROP, BLOCK_GROWTH or BLOCK_CEILING.
 
@@ -179,10 +200,18 @@ def freshness(bronze: DataFrame, as_of: str, warn_hours: float = 36, error_hours
 
 
 def candidate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, is_key): columns that are never null and never repeat, in one pass."""
-    counts = df.agg(F.count("*").alias("__n"), *[F.struct(F.count_distinct(c).alias("d"), F.count(c).alias("f")).alias(c) for c in columns])
-    one = counts.select("__n", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), f"{c}.*") for c in columns])).alias("x"))
-    return one.select("x.column_name", ((F.col("x.d") == F.col("__n")) & (F.col("x.f") == F.col("__n"))).alias("is_key"))
+    """(column_name, is_key): columns that are never null and never repeat.
+
+    One pass with sketches (errors of 1 %, so a column is ruled out only below 90 %) finds those that could
+    be keys; only their values are then counted exactly, column by column.  No row is an empty table's key.
+    """
+    counts = df.agg(F.count("*").alias("n"), *[F.struct(F.approx_count_distinct(c, 0.01).alias("d"), F.count(c).alias("f")).alias(c) for c in columns]).first()
+    n = counts["n"]
+    left = [c for c in columns if counts[c]["f"] == n and counts[c]["d"] >= 0.9 * n]
+    exact = [df.groupBy(c).agg(F.count("*").alias("k")).agg(F.coalesce(F.max("k") == 1, F.lit(True)).alias("is_key")).select(F.lit(c).alias("column_name"), "is_key") for c in left]
+    ruled_out = [(c, False) for c in columns if c not in left]
+    rest = df.sparkSession.createDataFrame(ruled_out, "column_name string, is_key boolean")
+    return reduce(DataFrame.unionByName, exact, rest)
 
 
 def partition_skew(df: DataFrame, column: str) -> DataFrame:

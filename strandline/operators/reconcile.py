@@ -7,21 +7,48 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions.values import canonical, field_types, same
 from .cleaning import one_row
-from .integrity import latest_per_key
+from .integrity import key_checks, latest_per_key
+from .scd2 import in_flight
 
 
-def columns_compare(source: DataFrame, stage: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """(column_name, mismatches): null-safe, column by column, and 'any column', over common keys."""
+def columns_compare(source: DataFrame, stage: DataFrame, keys: Sequence[str], columns: Sequence[str], *, by_value: bool = False) -> DataFrame:
+    """(column_name, mismatches): null-safe, column by column, and 'any column', over common keys.
+
+    With ``by_value`` strings are equal without regard to composition and trailing spaces, and doubles if
+    they are closer than a millionth, as in :mod:`strandline.functions.values`.
+    """
+    kinds = field_types(source, columns)
+    if by_value:
+        source, stage = canonical(source, columns), canonical(stage, columns)
     s = source.select(*keys, F.struct(*columns).alias("__s"))
     t = stage.select(*keys, F.struct(*columns).alias("__t"))
-    differs = {c: ~F.col(f"__s.{c}").eqNullSafe(F.col(f"__t.{c}")) for c in columns}
+    differs = {c: ~(same(F.col(f"__s.{c}"), F.col(f"__t.{c}"), kinds[c]) if by_value else F.col(f"__s.{c}").eqNullSafe(F.col(f"__t.{c}"))) for c in columns}
     counts = s.join(t, list(keys)).agg(
         *[F.count_if(d).alias(c) for c, d in differs.items()], F.count_if(reduce(lambda a, b: a | b, differs.values())).alias("any column")
     )
     return counts.unpivot([], [*columns, "any column"], "column_name", "mismatches")
 
 
+def columns_compare_in(
+    source: DataFrame, stage: DataFrame, keys: Sequence[str], columns: Sequence[str], at: str, start: str, end: str, *, by_value: bool = True
+) -> DataFrame:
+    """As :func:`columns_compare`, for rows whose date lies in the half-open window on their own side; a row
+    that is outside on the other side isn't compared."""
+
+    def inside(df: DataFrame) -> DataFrame:
+        return df.where((F.col(at) >= F.lit(start).cast("date")) & (F.col(at) < F.lit(end).cast("date")))
+
+    return columns_compare(inside(source), inside(stage), keys, columns, by_value=by_value)
+
+
+def sample_n(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """n rows, the same wherever they are taken: those whose keys' digests are smallest.  Ties go by key."""
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    return df.withColumn("__d", digest).orderBy("__d", *keys).limit(n).drop("__d")
+
+
 def sample_by_key(df: DataFrame, keys: Sequence[str], one_in: int) -> DataFrame:
     """The same share of keys wherever it is taken, so two samples can be compared."""
     return df.where(F.pmod(F.xxhash64(*keys), F.lit(one_in)) == 0)
@@ -61,15 +88,15 @@ def _stats(df: DataFrame, columns: Sequence[str], kinds: dict[str, object]) -> D
     return stats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), f"{c}.*") for c in columns])).alias("x")).select("x.*")
 
 
-def aggregate_reconcile(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None, tolerance: float = 0.001) -> DataFrame:
+def aggregate_reconcile(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None, tolerance: float = 0.001, *, extremes: bool = False) -> DataFrame:
     """Count and sum of each number on both sides; a mismatch is another count or a sum off by more
-    than the tolerance, relative to the first side's."""
+    than the tolerance, relative to the first side's.  With ``extremes`` least and greatest values are
+    returned too; they decide nothing."""
     columns = list(columns or _numbers(a))
-    kinds = {"n": F.count, "total": F.sum}
+    kinds = {"n": F.count, "total": F.sum} | ({"least": F.min, "greatest": F.max} if extremes else {})
     x, y = _stats(a, columns, kinds), _stats(b, columns, kinds)
-    both = x.select("column_name", F.col("n").alias("a_count"), F.col("total").alias("a_sum")).join(
-        y.select("column_name", F.col("n").alias("b_count"), F.col("total").alias("b_sum")), "column_name"
-    )
+    shown = {"n": "count", "total": "sum"} | ({"least": "min", "greatest": "max"} if extremes else {})
+    both = x.select("column_name", *[F.col(k).alias(f"a_{v}") for k, v in shown.items()]).join(y.select("column_name", *[F.col(k).alias(f"b_{v}") for k, v in shown.items()]), "column_name")
     off = F.when(F.col("a_sum") != 0, F.abs(F.col("a_sum") - F.col("b_sum")) / F.abs("a_sum")).otherwise(F.when(F.col("b_sum") == 0, 0.0).otherwise(1.0))
     bad = (F.col("a_count") != F.col("b_count")) | F.coalesce(off > tolerance, F.lit(False))
     return both.withColumn("mismatch", bad)
@@ -121,6 +148,13 @@ def stage_against_bronze(stage: DataFrame, bronze: DataFrame, keys: Sequence[str
     return one_row(d, s, b)
 
 
+def validate_cdc(stage: DataFrame, bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(check_name, n): one report on a change log and its history: duplicates on both, keys on one side only,
+    hashes that differ, keys that are active and deleted at once, and versions that never became active."""
+    parts = [stage_against_bronze(stage, bronze, keys), key_checks(bronze, keys).select("active_and_deleted", "zero_active"), bronze.agg(F.count_if(in_flight()).alias("in_flight"))]
+    return reduce(DataFrame.unionByName, [p.unpivot([], p.columns, "check_name", "n") for p in parts])
+
+
 def modified_sweep(source: DataFrame, bronze: DataFrame, keys: Sequence[str], modified: str) -> DataFrame:
     """Keys whose source row is newer than the active version, or that have none."""
     b = latest_per_key(bronze.where("UdmActiveFlag = 1"), keys, ["UdmEffectiveDateTime"]).select(*keys, F.col("UdmSourceBeginDate").alias("__b"))

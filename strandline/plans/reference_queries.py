@@ -881,10 +881,7 @@ def log_cohorts(spark, folder):
 @_query("""SELECT acctnbr, count(*) FILTER (_cdc_operation = 'I') AS inserts, count(*) FILTER (_cdc_operation = 'U') AS updates FROM acct_change WHERE acctnbr IS NOT NULL GROUP BY 1
 HAVING count(*) FILTER (_cdc_operation = 'I') > 1 ORDER BY inserts DESC, updates DESC, acctnbr LIMIT 10""")
 def churn_rank(spark, folder):
-    per = _t(spark, folder, "acct_change").where("acctnbr IS NOT NULL").groupBy("acctnbr").agg(
-        F.count_if(F.col("_cdc_operation") == "I").alias("inserts"), F.count_if(F.col("_cdc_operation") == "U").alias("updates")
-    )
-    return per.where("inserts > 1").orderBy(F.desc("inserts"), F.desc("updates"), "acctnbr").limit(10)
+    return profiling.churn(_t(spark, folder, "acct_change"), ["acctnbr"])
 
 
 @_query("""SELECT QuarantineId, 'ACCT' AS TableName, '{"QuarantineId":' || CAST(QuarantineId AS VARCHAR) || ',"BatchId":' || CAST(BatchId AS VARCHAR) || '}' AS RecordData FROM quarantine WHERE BatchId IS NOT NULL""")

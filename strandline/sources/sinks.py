@@ -6,7 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.cleaning import bits_to_tinyint, reorder, sanitize_strings
+from ..functions.hashing import add_row_hash, rewrite_strings
+from ..operators.cleaning import add_extracted_at, bits_to_tinyint, blank_far_dates, reorder, sanitize_strings
+from .readers import exists
+
+
+def prepare(df: DataFrame, at: str, *, far_dates: Sequence[str] = (), exclude: Sequence[str] = (), empty_as_null: bool = False, portable: bool = False) -> DataFrame:
+    """An extract made ready to be stored, in this order: far dates, strings as they are hashed, row hash, time of
+    extraction, control characters, booleans.  The hash sees strings before control characters go."""
+    dated = blank_far_dates(df, far_dates) if far_dates else df
+    hashed = add_row_hash(rewrite_strings(dated, empty_as_null=empty_as_null), exclude, portable=portable)
+    stamped = add_extracted_at(hashed, at)
+    return bits_to_tinyint(sanitize_strings(stamped))
+
+
+def append(df: DataFrame, path: str) -> None:
+    """Rows added to a Parquet table whose columns, where it exists, have the same names and types."""
+    if exists(df.sparkSession, path):
+        have = df.sparkSession.read.parquet(path).schema
+        if [(f.name, f.dataType) for f in have.fields] != [(f.name, f.dataType) for f in df.schema.fields]:
+            raise ValueError(f"the table has other columns: {have.simpleString()}")
+    df.write.mode("append").parquet(path)
 
 
 def write_bulk(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:

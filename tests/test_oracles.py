@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from strandline.plans import queries as core, reference_queries as reference
+from strandline.plans import control_queries as reference, queries as core
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
