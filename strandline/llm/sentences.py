@@ -143,20 +143,24 @@ def _after(u: np.ndarray, i: np.ndarray) -> np.ndarray:
     return np.where(np.logical_or.accumulate(stop, axis=1), 0, t["low"][c])
 
 
-def _reach(goes_on: np.ndarray) -> np.ndarray:
-    """For each index, the first one from there on at which ``goes_on`` is false; one more than the last if there is none."""
-    n = len(goes_on)
-    stop = np.where(goes_on, n, np.arange(n))
-    return np.append(np.minimum.accumulate(stop[::-1])[::-1], n)
-
-
-def _since(goes_on: np.ndarray) -> np.ndarray:
-    """For each index, where the run of true values that it lies in begins; itself where it is false."""
-    at = np.arange(len(goes_on))
-    fresh = ~goes_on
-    fresh[1:] |= ~goes_on[:-1]
-    fresh[:1] = True
-    return np.maximum.accumulate(np.where(fresh, at, 0))
+def _run_end(on: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the run of true values that each index lies in ends; the index itself where it is in none."""
+    i = np.flatnonzero(on)
+    if not len(i):
+        return at
+    ends = i[np.append(i[1:] != i[:-1] + 1, True)] + 1
+    inside = at < len(on)
+    inside[inside] = on[at[inside]]
+    return np.where(inside, ends[np.minimum(np.searchsorted(ends, at, side="right"), len(ends) - 1)], at)
+
+
+def _run_begin(on: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the run of true values that each index lies in begins; the index itself where it is in none."""
+    i = np.flatnonzero(on)
+    if not len(i):
+        return at
+    begins = i[np.append(True, i[1:] != i[:-1] + 1)]
+    return np.where(on[at], begins[np.maximum(np.searchsorted(begins, at, side="right") - 1, 0)], at)
 
 
 def _pairs(u: np.ndarray, zone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +249,7 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     bullet = t["bullet"][c0] & space1
     marker_end = f0 + 1
     # A number of any length with a point or bracket after it.
-    past = _reach((u >= 48) & (u <= 57))[f0]
+    past = _run_end((u >= 48) & (u <= 57), f0)
     x, y = u[np.minimum(past, n - 1)], u[np.minimum(past + 1, n - 1)]
     number = (past > f0) & (past < n) & ((x == ord(".")) | (x == ord(")"))) & t["white"][y] & (past + 1 < l0)
     marker_end = np.where(number, past, marker_end)
@@ -282,7 +286,8 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
 
     opened, closed = _pairs(u, per_char)
     # Marks: the last of a run, followed by what may belong to it.
-    mark = t["term"][u] | (u == ord(";")) | (u == 0x37E)
+    term = t["term"][u]
+    mark = term | (u == ord(";")) | (u == 0x37E)
     last = mark.copy()
     last[:-1] &= ~(mark[1:] & ~begins[1:n])
     i = np.flatnonzero(last)
@@ -299,14 +304,14 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     pair_open[opened] = True
     closing = t["close"][u] & ~pair_open[:n]
     closing[1:] &= (per_char[1:] == per_char[:-1])
-    nxt = _reach(closing)[nxt]
+    nxt = _run_end(closing, nxt)
     c = u[i]
     kind = np.full(len(i), DOT)
     # The first of the marks that stand together; what precedes it is the word before.
-    follows = t["term"][u] & ~begins[:n]
-    follows[1:] &= t["term"][u[:-1]]
+    follows = term & ~begins[:n]
+    follows[1:] &= term[:-1]
     follows[:1] = False
-    before_run = np.maximum(_since(follows)[i] - follows[i], 0)
+    before_run = _run_begin(follows, i) - follows[i]
     kind[(c == ord("…")) | ((c == ord(".")) & (before_run < i))] = DOTS
     kind[t["always"][c]] = ASK
     kind[t["wide"][c]] = WIDE
@@ -407,12 +412,16 @@ def candidates(u: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         word[:m][kind != DOT] = PLAIN
     joined = _among(_hash(_after(u, to)), _lexicon()["joined"]) & goes_on
     # Whether the next word is an identifier: it has an underscore, a digit or a capital inside.
-    part = t["alnum"][u] | (u == ord("_"))
-    odd = (u == ord("_")) | t["digit"][u]
-    odd[1:] |= t["upper"][u[1:]] & t["lower"][u[:-1]]
-    so_far = np.append(0, np.cumsum(odd & part))
+    score = u == ord("_")
+    part = score.copy()
+    part[words] = True
+    gap = np.append(np.flatnonzero(~part), n)
+    capitals = np.flatnonzero(t["upper"][u])
+    capitals = capitals[t["lower"][u[np.maximum(capitals - 1, 0)]]]
+    odd = np.sort(np.concatenate([np.flatnonzero(score | t["digit"][u]), capitals]))
     under = x == ord("_")
-    named = (so_far[_reach(part)[to]] - so_far[np.minimum(to + ~under, n)] > 0) & (t["letter"][x] | under) & goes_on
+    end = gap[np.searchsorted(gap, to)]
+    named = (np.searchsorted(odd, end) > np.searchsorted(odd, to + ~under)) & (t["letter"][x] | under) & goes_on
     close = np.zeros(len(at), np.int64)
     close[m : m + mc] = 1 + is_quote + 2 * at_start + 4 * colon_before
     kana = t["kana"][x] & goes_on
