@@ -2,13 +2,15 @@
 
 The pre-tokens of a block of texts are found by array operations on its code points: a pre-token
 starts where the class of character changes, with the pattern's rules for spaces and contractions.
-Each distinct pre-token is merged once per worker and then found again by a 64-bit hash.
+Each distinct pre-token is merged once per worker and then found again by a 64-bit hash; what is found
+is compared with the pre-token itself, so two that share a hash aren't mixed up.
 
 Texts longer than ``LONG`` code points are cut into chunks that overlap by ``OVERLAP``.  The chunks
 spread over the cluster, each is pre-tokenised and encoded by itself, and the pieces are stitched at
 the first position in an overlap where both chunks have a pre-token boundary: the pattern looks only
 ahead, so from there on both agree.  Where an overlap has no such position (one pre-token longer than
-the overlap), the two chunks are joined and encoded again.
+the overlap), chunks are joined and encoded again, each time as many more as were joined before, so a
+text without boundaries costs a few times its length.
 
 Defined results
 - Null and empty texts give an empty list; a null id is kept.
@@ -122,6 +124,9 @@ class Encoder:
         self.offset = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int32)
         self.count = 0
+        self.chars = np.zeros(1 << 16, np.uint32)
+        self.spelt = 0
+        self.place = np.zeros(1 << 14, np.int64)
 
     def _store(self, ids: list[int]) -> int:
         while self.used + len(ids) > len(self.tokens):
@@ -135,8 +140,24 @@ class Encoder:
         self.count += 1
         return self.count - 1
 
-    def _merge(self, u: np.ndarray, a: int, b: int) -> int:
-        return self._store(self.bpe.encode_ordinary(u[a:b].tobytes().decode("utf-32-le", "surrogatepass")))
+    def _merge(self, u: np.ndarray, a: int, b: int, keep: bool = False) -> int:
+        """Number of a pre-token that is merged now; its characters are kept if it is to be found again."""
+        number = self._store(self.bpe.encode_ordinary(u[a:b].tobytes().decode("utf-32-le", "surrogatepass")))
+        if number >= len(self.place):
+            self.place = np.concatenate([self.place, np.zeros_like(self.place)])
+        if keep:
+            while self.spelt + b - a > len(self.chars):
+                self.chars = np.concatenate([self.chars, np.zeros_like(self.chars)])
+            self.chars[self.spelt : self.spelt + b - a] = u[a:b]
+            self.place[number] = self.spelt
+            self.spelt += b - a
+        return number
+
+    def _unlike(self, u: np.ndarray, starts: np.ndarray, sizes: np.ndarray, number: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Pre-tokens that aren't spelt like the one they were found under; long ones aren't looked up."""
+        short = sizes <= _DEEP
+        expected = np.repeat(np.where(short, self.place[number], 0), sizes) + np.minimum(place, _DEEP - 1)
+        return np.flatnonzero(np.logical_or.reduceat(self.chars[np.minimum(expected, len(self.chars) - 1)] != u, starts) & short)
 
     def pieces(self, u: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of all pre-tokens and the number under which each is remembered."""
@@ -169,7 +190,7 @@ class Encoder:
                 if k in self.overflow:
                     new[i] = self.overflow[k]
                     continue
-                new[i] = self._merge(u, starts[w], starts[w] + sizes[w])
+                new[i] = self._merge(u, starts[w], starts[w] + sizes[w], keep=True)
                 for t, s in enumerate((k & (_SLOTS - 1), (k >> 40) & (_SLOTS - 1))):
                     if self.slot[t][s] < 0:
                         self.keys[t][s], self.slot[t][s] = k, new[i]
@@ -179,6 +200,8 @@ class Encoder:
             number[missing] = new[back]
         for i in np.flatnonzero(long).tolist():
             number[i] = self._merge(u, starts[i], starts[i] + sizes[i])
+        for i in self._unlike(u, starts, sizes, number, place).tolist():
+            number[i] = self._merge(u, starts[i], starts[i] + sizes[i])
         return starts, number
 
     def ids(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,24 +250,28 @@ def stitch(enc: Encoder, chunks: list[tuple[int, str, np.ndarray, np.ndarray, np
     """
     out = []
     at, text, ids, starts, index = chunks[0]
-    low = 0
-    for nxt in chunks[1:]:
-        shift = nxt[0] - at
+    low, joined, i = 0, 1, 1
+    while i < len(chunks):
+        nxt = chunks[i]
         # A chunk's last pre-token may be cut short, so the ones from there on don't count.
-        mine = starts[:-1] - shift
-        common, i, j = np.intersect1d(mine, nxt[3], return_indices=True)
-        keep = np.flatnonzero((common >= 0) & (index[i] >= low))
+        mine = starts[:-1] - (nxt[0] - at)
+        common, here, there = np.intersect1d(mine, nxt[3], return_indices=True)
+        keep = np.flatnonzero((common >= 0) & (index[here] >= low))
         if not len(keep):
-            text = text[:shift] + nxt[1]
+            more = chunks[i : i + joined]
+            text = text[: nxt[0] - at] + "".join(c[1][: d[0] - c[0]] for c, d in zip(more, more[1:], strict=False)) + more[-1][1]
             ids, starts, index = encode_chunk(enc, text)
             if out:
                 low = int(index[np.searchsorted(starts, base)])
+            i += len(more)
+            joined += len(more)
             continue
         k = keep[0]
-        out.append(ids[low : index[i[k]]])
-        low = int(nxt[4][j[k]])
+        out.append(ids[low : index[here[k]]])
+        low = int(nxt[4][there[k]])
         base = int(common[k])
         at, text, ids, starts, index = nxt
+        i, joined = i + 1, 1
     out.append(ids[low:])
     return np.concatenate(out)
 

@@ -45,6 +45,28 @@ def test_forgetting_and_collisions(enc, monkeypatch):
     assert small.overflow
 
 
+def test_pretokens_with_one_hash_are_told_apart(enc):
+    class Colliding(tk.Encoder):
+        def __init__(self, path):
+            super().__init__(path)
+            # Every character counts the same wherever it stands, so anagrams share a hash.
+            self.weights[:] = 3
+
+    small = Colliding(tk.vocabulary_path())
+    texts = ["stop spot tops", "post pots opts", "stop tops spot", "x" * 100 + " stop"]
+    for _ in range(2):
+        assert small.encode(texts).to_pylist() == [plain(enc, t) for t in texts]
+
+
+def test_stitching_a_text_without_boundaries_costs_little(enc, monkeypatch):
+    text = "y" * 40_000 + " the end of it"
+    chunks = cut(enc, text, 1000, 50)
+    lengths = []
+    monkeypatch.setattr(tk, "encode_chunk", lambda e, t, real=tk.encode_chunk: (lengths.append(len(t)), real(e, t))[1])
+    assert list(tk.stitch(enc, chunks)) == plain(enc, text)
+    assert sum(lengths) < 4 * len(text)
+
+
 def cut(enc, text, long, overlap):
     step = long - overlap
     n = (len(text) - overlap - 1) // step if len(text) > long else 0
