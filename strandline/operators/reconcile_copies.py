@@ -38,6 +38,8 @@ ROWS = 192
 WIDTH = 12
 #: Buckets or suspects are broadcast up to this many rows of about 32 bytes.
 BROADCAST_ROWS = 200_000
+#: Beyond that, parts into which a bucket's rows are divided for the join with its size or suspects.
+SALTS = 32
 _LOW = 0xFFFFFFFF
 _MASK31 = 0x7FFFFFFF
 
@@ -145,8 +147,19 @@ def key_counts(source: DataFrame, target: DataFrame, keys: list[str], bucket_by:
     )
 
 
-def _pairs(df: DataFrame, keys: list[str], fields: list[str], bucket_by: str, large: DataFrame) -> DataFrame:
-    """Canonical rows with bucket, key hash and value hash."""
+def _salted(few: DataFrame, small: bool) -> DataFrame:
+    """``few`` ready for a join with rows that have a ``__salt``: broadcast, or a row for each salt."""
+    salts = [0] if small else range(SALTS)
+    out = few.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in salts])))
+    return F.broadcast(out) if small else out
+
+
+def _pairs(df: DataFrame, keys: list[str], fields: list[str], bucket_by: str, large: DataFrame, small: bool) -> DataFrame:
+    """Canonical rows with bucket, key hash and value hash.
+
+    Where the buckets' sizes can't be broadcast, the join divides a bucket's rows by key hash, so a bucket
+    with a third of all rows isn't one task.
+    """
     kinds = field_types(df, fields)
     some = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     rows = canonical(df.where(some).select(*keys, *fields), fields)
@@ -154,7 +167,8 @@ def _pairs(df: DataFrame, keys: list[str], fields: list[str], bucket_by: str, la
         {"__k": F.xxhash64(*keys), "__h": value_hash((F.col(f), kinds[f]) for f in fields), "__bucket": F.col(bucket_by)}
     )
     subs = F.when(F.col("__subs").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("__k"), F.col("__subs")))
-    return rows.join(large, "__bucket", "left").withColumn("__sub", subs.cast("int")).drop("__subs")
+    rows = rows.withColumn("__salt", F.lit(0) if small else F.pmod(F.xxhash64("__k"), F.lit(SALTS)).cast("int"))
+    return rows.join(large, ["__bucket", "__salt"], "left").withColumn("__sub", subs.cast("int")).drop("__subs", "__salt")
 
 
 def sketch_difference(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -183,9 +197,9 @@ def differing_rows(
     kinds = field_types(source, fields)
     n = F.greatest("source_rows", "target_rows")
     large = counts.where(n > ROWS).select(F.col(bucket_by).alias("__bucket"), F.ceil(n / ROWS).cast("bigint").alias("__subs"))
-    if large.count() <= BROADCAST_ROWS:
-        large = F.broadcast(large)
-    s, t = (_pairs(x, keys, fields, bucket_by, large) for x in (source, target))
+    few = large.count() <= BROADCAST_ROWS
+    large = _salted(large, few)
+    s, t = (_pairs(x, keys, fields, bucket_by, large, few) for x in (source, target))
     bucket_type = source.schema[bucket_by].dataType.simpleString()
     suspects = materialise(
         sketch_difference(s, t).mapInPandas(_peel_batches, f"__bucket {bucket_type}, __sub int, __key bigint"), "suspects"

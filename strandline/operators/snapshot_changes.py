@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.values import canonical, field_types, same, value_hash
+from ..plans.storage import materialise
 
 #: Snapshot ids are broadcast up to this number.
 BROADCAST_SNAPSHOTS = 100_000
@@ -48,7 +49,8 @@ def snapshot_changes(
     here = rows.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, snapshot]))
     if current:
         here = here.where(F.col(current) == 1)
-    numbers = snapshot_numbers(here, snapshot)
+    # Written, so the rows are scanned once for their ids and once for their values.
+    numbers = materialise(snapshot_numbers(here, snapshot), "snapshots")
     narrow = canonical(here.select(snapshot, *keys, *fields), fields).select(
         F.col(snapshot).alias("__snap"),
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
