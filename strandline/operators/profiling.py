@@ -205,10 +205,10 @@ def candidate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     One pass with sketches (errors of 1 %, so a column is ruled out only below 90 %) finds those that could
     be keys; only their values are then counted exactly, column by column.  No row is an empty table's key.
     """
-    counts = df.agg(F.count("*").alias("n"), *[F.struct(F.approx_count_distinct(c, 0.01).alias("d"), F.count(c).alias("f")).alias(c) for c in columns]).first()
-    n = counts["n"]
+    counts = df.agg(F.count("*").alias("__n"), *[F.struct(F.approx_count_distinct(c, 0.01).alias("d"), F.count(c).alias("f")).alias(c) for c in columns]).first()
+    n = counts["__n"]
     left = [c for c in columns if counts[c]["f"] == n and counts[c]["d"] >= 0.9 * n]
-    exact = [df.groupBy(c).agg(F.count("*").alias("k")).agg(F.coalesce(F.max("k") == 1, F.lit(True)).alias("is_key")).select(F.lit(c).alias("column_name"), "is_key") for c in left]
+    exact = [df.groupBy(c).agg(F.count("*").alias("__k")).agg(F.coalesce(F.max("__k") == 1, F.lit(True)).alias("is_key")).select(F.lit(c).alias("column_name"), "is_key") for c in left]
     ruled_out = [(c, False) for c in columns if c not in left]
     rest = df.sparkSession.createDataFrame(ruled_out, "column_name string, is_key boolean")
     return reduce(DataFrame.unionByName, exact, rest)

@@ -206,9 +206,10 @@ def typed_rows(records: DataFrame, file_layout: DataFrame, table: str) -> DataFr
     """The records of one file that load, as typed columns after ``QuarantineId``.
 
     Flags become booleans, timestamps have no zone.  A column of the file that is itself called
-    QuarantineId keeps its name; the id is then ``QuarantineId_``.
+    QuarantineId keeps its name; the id is then ``QuarantineId_``.  A file without a layout has no rows and
+    no other columns.
     """
-    columns = layouts(file_layout)[table][1:]
+    columns = layouts(file_layout).get(table, [","])[1:]
     good = judge_records(records.where(F.col("TableName") == table), file_layout, "QuarantineId", "TableName", "RecordData").where("reason IS NULL")
     taken = {c.lower() for c, _, _ in columns}
     name = "QuarantineId" if "quarantineid" not in taken else "QuarantineId_"

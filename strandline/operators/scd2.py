@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..plans.storage import new_path
 from .cleaning import keep_first
@@ -195,23 +195,27 @@ class HistoryStore:
     the old version aren't disturbed.
     """
 
-    def __init__(self, spark: SparkSession, keys: Sequence[str], buckets: int = 64, paths: dict[int, str] | None = None) -> None:
-        self.spark, self.keys, self.buckets, self.paths = spark, list(keys), buckets, dict(paths or {})
+    def __init__(self, spark: SparkSession, keys: Sequence[str], buckets: int = 64, paths: dict[int, str] | None = None, schema: T.StructType | None = None) -> None:
+        self.spark, self.keys, self.buckets, self.paths, self.schema = spark, list(keys), buckets, dict(paths or {}), schema
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def read(self, some: Sequence[int] | None = None) -> DataFrame | None:
-        """The rows of some buckets, or of all; None if there are none."""
+        """The rows of some buckets, or of all; None if nothing was ever written."""
         paths = [p for b, p in sorted(self.paths.items()) if some is None or b in some]
-        return self.spark.read.parquet(*paths) if paths else None
+        if self.schema is None:
+            return None
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def write(self, rows: DataFrame) -> HistoryStore:
         """The store with these rows in place of those in their buckets."""
         root = new_path(self.spark, "history")
-        rows.withColumn("__bucket", self._bucket()).repartition("__bucket").write.partitionBy("__bucket").parquet(root)
-        new = {r["__bucket"]: f"{root}/__bucket={r['__bucket']}" for r in self.spark.read.parquet(root).select("__bucket").distinct().collect()}
-        return HistoryStore(self.spark, self.keys, self.buckets, self.paths | new)
+        placed = rows.withColumn("__bucket", self._bucket())
+        placed.hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(root)
+        written = self.spark.read.schema(placed.schema).parquet(root).select("__bucket").distinct().collect()
+        new = {r["__bucket"]: f"{root}/__bucket={r['__bucket']}" for r in written}
+        return HistoryStore(self.spark, self.keys, self.buckets, self.paths | new, rows.schema)
 
     def apply_targeted(self, part: DataFrame, deleted: DataFrame, at: str, **how: object) -> HistoryStore:
         """The store after :func:`apply` of a part of the source and the keys that are gone from it."""
