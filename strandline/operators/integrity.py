@@ -194,6 +194,7 @@ def diagnose(stage: DataFrame, bronze: DataFrame, source: DataFrame | None, keys
     known = F.coalesce(F.col("__s"), F.lit(False)) if source is not None else F.lit(None).cast("boolean")
     both = both.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).withColumn("__in", known)
     c, n, a, d, i = (F.coalesce(F.col(x), F.lit(0)) for x in ("__c", "__n", "__a", "__d", "__i"))
+    # The names of the verdicts.
     verdict = (
         F.when((c == 1) & (a == 1), F.when(F.col("__sh").eqNullSafe(F.col("__bh")), "HEALTHY_ACTIVE").otherwise("STAGE_BRONZE_HASH_DIVERGE"))
         .when((c == 0) & (d >= 1) & (a == 0), "HEALTHY_DELETED")
@@ -219,6 +220,7 @@ def missing_theories(missing: DataFrame, bronze: DataFrame, keys: Sequence[str])
         F.count_if(flag == 0).alias("__z"), F.count_if(flag == 1).alias("__a"), F.count_if(flag == 2).alias("__d"), F.count_if(in_flight()).alias("__i"), F.count("*").alias("__n")
     )
     z, a, d, i = (F.col(x) for x in ("__z", "__a", "__d", "__i"))
+    # The names of the theories.
     theory = (
         F.when(F.col("__n").isNull(), "T3_NEVER_INSERTED")
         .when(i > 0, "T1_IN_FLIGHT_ORPHAN")

@@ -77,6 +77,7 @@ def guard(fresh: Column, baseline: Column, override: Column | None = None, drop:
 
     The override raises the growth limit, and replaces the ceiling of a first run.
     """
+    # The names of the verdicts.
     over = F.nullif(override, F.lit(0)) if override is not None else F.lit(None).cast("bigint")
     first = baseline.isNull() | (baseline == 0)
     limit = F.greatest(F.floor(baseline * growth), F.coalesce(over, F.lit(0)))
@@ -106,6 +107,7 @@ def gaps(runs: DataFrame, keys: Sequence[str], day: str, ok: Column, as_of: str,
     good = runs.where(ok).select(*keys, F.col(day).alias("day")).distinct().withColumn("__ok", F.lit(True))
     days = calendar(spans, "first_day", "last_day").join(good, [*keys, "day"], "left")
     per = days.groupBy(*keys, "first_day", "last_day").agg(F.count_if(F.col("__ok").isNull()).alias("missing_days"), F.count("__ok").alias("__good"))
+    # The names of the actions.
     action = F.when(F.col("missing_days") == 0, "NONE").when(F.col("__good") > 0, "BACKFILL").otherwise("INVESTIGATE")
     return per.select(*keys, "first_day", "last_day", "missing_days", action.alias("action"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.hashing import add_row_hash, row_hash
 from ..operators import cdc, cleaning, integrity, profiling, reads, reconcile, scd2
 from ..sources import readers, sinks
+from .storage import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -568,7 +569,8 @@ LEFT JOIN h ON h.c_custkey = o.o_custkey AND h.eff <= o.at AND (h.fin IS NULL OR
 def asof_join(spark, folder):
     at = F.lit("2026-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("o_orderkey") % 90).cast("int"))
     o = _t(spark, folder, "orders").select("o_orderkey", "o_custkey", at.alias("at"))
-    out = reads.as_of_join(o, _bronze(spark, folder), "o_custkey", "c_custkey", "at")
+    # The history is stored, as it would be; versions and carried rows both read it.
+    out = reads.as_of_join(o, materialise(_bronze(spark, folder), "bronze"), "o_custkey", "c_custkey", "at")
     return out.select("o_orderkey", F.col("v_c_acctbal").alias("c_acctbal"), F.col("v_UdmScd2Operation").alias("op"))
 
 

@@ -49,13 +49,15 @@ def release(spark: SparkSession) -> int:
 
 @atexit.register
 def _at_exit() -> None:
-    spark = SparkSession.getActiveSession() if _WRITTEN else None
-    if spark is not None:
-        try:
+    if not _WRITTEN:
+        return
+    try:
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
             release(spark)
-        except Exception:
-            # The session has ended before; its folder stays.
-            return
+    except Exception:
+        # The session has ended before; its folder stays.
+        return
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -44,9 +44,10 @@ def reload(df: DataFrame, path: str, internal: bool = False) -> None:
     df.select(*keep).write.mode("overwrite").parquet(path)
 
 
-def write_database(df: DataFrame, url: str, table: str, mode: str = "append", batch: int = 10_000, streams: int = 8) -> None:
+def write_database(df: DataFrame, url: str, table: str, mode: str = "append", batch: int = 10_000, streams: int = 8, driver: str | None = None) -> None:
     """Rows into a database table over several connections."""
-    df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch).option("numPartitions", streams).mode(mode).save()
+    out = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch).option("numPartitions", streams)
+    (out.option("driver", driver) if driver else out).mode(mode).save()
 
 
 def quarantine(rejects: DataFrame, reason: str, table: str, source: str, batch_id: int, at: str) -> DataFrame:

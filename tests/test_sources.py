@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import types as T
 
-from strandline.sources import readers, snapshots
+from strandline.sources import readers, sinks, snapshots
 
 URL = "jdbc:derby:memory:strandline;create=true"
 DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -36,7 +36,7 @@ def test_empty_file_with_skipped_rows(spark, tmp_path):
 def test_database(spark):
     rows = [(i, f"n{i}", None if i % 7 == 0 else datetime(2026, 1, 1 + i % 5, 3), "x" * 5000) for i in range(40)]
     df = spark.createDataFrame(rows, "ID int, NAME string, WHENAT timestamp_ntz, NOTE string")
-    df.write.format("jdbc").option("url", URL).option("driver", DRIVER).option("dbtable", "T").mode("overwrite").save()
+    sinks.write_database(df, URL, "T", "overwrite", 7, 3, DRIVER)
     source = readers.DatabaseSource(URL, "T", driver=DRIVER)
     whole = {r["ID"] for r in readers.read(spark, source).collect()}
     assert whole == set(range(40))
@@ -54,6 +54,28 @@ def test_database(spark):
     assert readers.read_days(spark, source, "WHENAT", days, nulls=False).where("WHENAT IS NULL").count() == 0
 
 
+def test_far_dates_of_a_database(spark):
+    df = spark.createDataFrame([(1, date(9999, 12, 31)), (2, date(2026, 1, 1)), (3, None)], "ID int, DAY_OF date")
+    sinks.write_database(df, URL, "FAR", "overwrite", driver=DRIVER)
+    got = readers.read_database(spark, readers.DatabaseSource(URL, "FAR", driver=DRIVER), far_dates=["DAY_OF"]).collect()
+    assert {r["ID"]: r["DAY_OF"] for r in got} == {1: None, 2: date(2026, 1, 1), 3: None}
+
+
+def test_counts_and_workbooks(spark, tmp_path):
+    spark.range(7).write.parquet(str(tmp_path / "t"))
+    assert readers.row_count(spark, str(tmp_path / "t")) == 7
+    pytest.importorskip("pandas")
+    try:
+        import openpyxl  # noqa: F401
+    except ImportError:
+        (tmp_path / "w.xlsx").write_bytes(b"")
+        with pytest.raises(RuntimeError, match="openpyxl"):
+            readers.read(spark, readers.FileSource(str(tmp_path / "w.xlsx"), "xlsx"))
+    else:
+        spark.range(3).toPandas().to_excel(tmp_path / "w.xlsx", index=False)
+        assert readers.read(spark, readers.FileSource(str(tmp_path / "w.xlsx"), "xlsx")).count() == 3
+
+
 def test_registry(spark):
     day = date(2026, 1, 5)
     rows = [("S", "T", day, i, f"p{i}", 10, f"h{i}", s) for i, s in enumerate(["created", "created", "created", "verified", "purged", None])]
