@@ -137,7 +137,11 @@ def _write_index(entries: DataFrame, table: ChangeTable, names: list[str], seg:
     """
     bucketed = entries.withColumn("__kb", F.pmod(F.xxhash64(*names), F.lit(table.buckets)).cast("int"))
     bucketed.hint("rebalance", "__kb").write.partitionBy("__kb").parquet(f"{table.root}/index/seg={seg}")
-    return T.StructType([*bucketed.schema.fields, T.StructField("seg", T.StringType())])
+    return _index_schema(entries)
+
+
+def _index_schema(entries: DataFrame) -> T.StructType:
+    return T.StructType([*entries.schema.fields, T.StructField("__kb", T.IntegerType()), T.StructField("seg", T.StringType())])
 
 
 def _place(d: Column, change: Column, *more: Column) -> Column:
@@ -225,7 +229,7 @@ def _write_vectors(spark: SparkSession, table: ChangeTable, fresh: DataFrame, mo
 def compact(spark: SparkSession, table: ChangeTable) -> ChangeTable:
     """The same table with its index and vectors in one segment each."""
     names, seg = _names(table), uuid.uuid4().hex[:12]
-    kinds = T.StructType([f for f in spark.read.option("basePath", f"{table.root}/index").parquet(*[f"{table.root}/index/seg={i}" for i in table.index]).schema.fields])
+    kinds = _index_schema(_entries(_scan(spark, table.images[:1]), table.columns))
     merged = _segments(spark, table, "index", table.index, kinds).groupBy(*names, "__change").agg(F.min("__d").alias("__d"))
     _write_index(merged, table, names, seg)
     vectors(spark, table).withColumns({"__n": F.lit(0), "__own": F.lit(True)}).write.parquet(f"{table.root}/vectors/seg={seg}")

@@ -109,6 +109,16 @@ def ledger_sweep(ledger: DataFrame, as_of: str, minutes: int = 60, most: int = 1
     )
 
 
+def config_entries(config: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """(keys, name, value) of every entry of a JSON object, or, of a JSON list, of every element with its place
+    from 0 as name.  Values are texts as JSON writes them; what is no JSON object or list has none."""
+    text = F.trim(column)
+    listed = F.from_json(text, "array<string>")
+    as_map = F.map_from_arrays(F.transform(F.sequence(F.lit(0), F.size(listed) - 1), lambda i: i.cast("string")), listed)
+    entries = F.when(text.startswith("["), F.when(F.size(listed) > 0, as_map)).when(text.startswith("{"), F.from_json(text, "map<string,string>"))
+    return config.select(*keys, F.explode(entries).alias("name", "value"))
+
+
 def propose_config(columns: DataFrame, profiles: DataFrame) -> DataFrame:
     """(SourceName, TableName, FieldName, ProposedValue): configuration proposed from column names.
 

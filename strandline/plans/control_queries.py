@@ -254,6 +254,15 @@ def event_rows(spark, folder):
     return control.finish_events(_t(spark, folder, "pipelineeventlog")).select("EventLogId", "BatchId", "Status", "DurationMs", "RowsPerSecond")
 
 
+@_query("""SELECT EventLogId, BatchId, name, json_extract_string(Metadata, '$."' || name || '"') AS value FROM (SELECT EventLogId, BatchId, Metadata, unnest(json_keys(Metadata)) AS name FROM pipelineeventlog WHERE json_valid(Metadata))
+UNION ALL SELECT EventLogId, BatchId, CAST(i AS VARCHAR), CASE i WHEN 0 THEN CAST(BatchId AS VARCHAR) ELSE EventType END FROM pipelineeventlog, (VALUES (0), (1)) v(i) WHERE BatchId IS NOT NULL AND EventType IS NOT NULL""")
+def metadata_entries(spark, folder):
+    """Entries of the events' metadata, and of lists made of two of their columns."""
+    e = _t(spark, folder, "pipelineeventlog")
+    lists = e.where("BatchId IS NOT NULL AND EventType IS NOT NULL").select("EventLogId", "BatchId", F.to_json(F.array(F.col("BatchId").cast("string"), "EventType")).alias("Metadata"))
+    return control.config_entries(e.select("EventLogId", "BatchId", "Metadata").unionByName(lists), ["EventLogId", "BatchId"], "Metadata")
+
+
 _TRIES = """WITH d AS (SELECT DISTINCT EventLogId, TableName, SourceName, CycleDate, StartedAt FROM pipelineeventlog WHERE EventType = 'EXTRACT'),
 l AS (SELECT *, row_number() OVER (PARTITION BY TableName, SourceName ORDER BY StartedAt, EventLogId) AS Attempt FROM d WHERE CycleDate < DATE '2026-03-01')
 """

@@ -121,6 +121,15 @@ def test_files_in_place_and_without_broadcast(spark, tmp_path):
     assert "__file_" in read_table(spark, table).columns
 
 
+def test_empty_batches(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    table = ChangeTable(ACCOUNT_FEED, merge_every=2)
+    for _ in range(3):
+        table = apply_changes(spark, table, empty)
+    table = apply_changes(spark, table, spark.createDataFrame([(1, 1, "n", "I", T0, 1, "x")], SCHEMA))
+    assert found(spark, apply_changes(spark, table, empty)) == {(1, 1)}
+
+
 def test_empty_feed(spark):
     table = apply_changes(spark, ChangeTable(ACCOUNT_FEED), spark.createDataFrame([], SCHEMA))
     assert found(spark, table) == set()

@@ -57,6 +57,12 @@ def test_configuration(spark):
     assert {r["ProposalId"] for r in marked.where("AppliedAt = TIMESTAMP_NTZ '2026-02-01'").collect()} == {1, 2}
 
 
+def test_config_entries(spark):
+    df = spark.createDataFrame([(1, '{"a": "b", "n": 1, "x": null}'), (2, '["p", "q"]'), (3, "[]"), (4, "{}"), (5, "no"), (6, None), (7, " {broken")], "k int, c string")
+    got = sorted(tuple(r) for r in control.config_entries(df, ["k"], "c").na.fill("-").collect())
+    assert got == [(1, "a", "b"), (1, "n", "1"), (1, "x", "-"), (2, "0", "p"), (2, "1", "q")]
+
+
 def test_type_drift(spark):
     kind = "table_name string, column_name string, value_type string"
     a = spark.createDataFrame([("t", c, v) for c, v in (("a", "decimal(12,2)"), ("b", "decimal(12,2)"), ("c", "string(5)"), ("d", "date"), ("e", "date"), ("f", "bigint"), ("g", "string"))], kind)

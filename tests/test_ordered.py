@@ -32,6 +32,21 @@ def test_running_against_brute_force(spark):
     assert running(df.limit(0), ["k"], "at", [F.col("at")], wanted).count() == 0
 
 
+def test_a_hot_key_is_in_many_tasks(spark):
+    r = random.Random(8)
+    rows = [(i, 1 if i % 3 == 0 else r.randrange(2, 300), T0 + timedelta(hours=r.randrange(24 * 730))) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id bigint, k bigint, at timestamp_ntz").repartition(4)
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = running(df, ["k"], "at", [F.col("at"), F.col("id")], {"n": ("sum", F.lit(1))})
+        per = sorted(x["count"] for x in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(per) == len(rows) and per[-1] <= 3 * per[len(per) // 2]
+
+
 def history(seed, n):
     r = random.Random(seed)
     out = []

@@ -1,3 +1,4 @@
+import zipfile
 from datetime import date, datetime
 
 import pytest
@@ -68,7 +69,8 @@ def test_counts_and_workbooks(spark, tmp_path):
     try:
         import openpyxl  # noqa: F401
     except ImportError:
-        (tmp_path / "w.xlsx").write_bytes(b"")
+        with zipfile.ZipFile(tmp_path / "w.xlsx", "w") as z:
+            z.writestr("xl/workbook.xml", "")
         with pytest.raises(RuntimeError, match="openpyxl"):
             readers.read(spark, readers.FileSource(str(tmp_path / "w.xlsx"), "xlsx"))
     else:
