@@ -2,16 +2,19 @@
 
 Every row becomes a pair (64-bit key hash, 64-bit hash of its values).  Rows of a partition column
 (``bucket_by``, a batch here) share a small table of cells; each pair is added to three cells of its
-bucket, with sign +1 from the source and -1 from the target.  Equal rows cancel, so after summing
+bucket, chosen by key and values, so that the two pairs of a changed row don't hide each other, with sign +1 from the source and -1 from the target.  Equal rows cancel, so after summing
 only differences remain, and peeling cells that hold a single pair reveals their keys.  The rows of
 those keys, and only those, are then fetched from both copies and compared field by field.
 
-A cell holds sums, not exclusive ors, so a row repeated in one copy shows up as a pair with a higher
-count instead of vanishing.  Cells are summed map-side before the shuffle; copies that are stored
-batch by batch send about one set of cells per batch and file.  Buckets larger than ``ROWS`` keys are
-split by key hash, so one hot batch becomes many buckets.  A bucket with more differences than its
-cells can hold doesn't peel; all its rows are fetched and compared, which is exact and just as
-distributed.
+A cell holds sums, not exclusive ors, and signed counts, so whatever doesn't cancel stays to be seen.
+Buckets larger than ``ROWS`` keys are split by key hash, so one hot batch becomes many buckets.  A bucket with
+more differences than its cells can hold doesn't peel; all its rows are fetched and compared, which is
+exact and just as distributed.
+
+Pairs are moved once.  Rows are thinned to key and hash and repeats dropped inside each task; the
+pairs meet by bucket, where keys are made distinct, counted, and summed into cells without moving
+again, because a bucket's pairs lie together.  A key whose repeats in one copy contradict each other gets a
+hash that never cancels.
 
 Defined results
 - Keys with a null part are no records.
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.values import canonical, field_types, same, value_hash
@@ -34,8 +38,8 @@ from ..plans.storage import materialise
 
 #: Keys of a bucket, about.
 ROWS = 192
-#: Cells of each of a bucket's three subtables.
-WIDTH = 12
+#: Cells of each of a bucket's three subtables: enough for changes in about a fifth of its keys.
+WIDTH = 32
 #: Buckets or suspects are broadcast up to this many rows of about 32 bytes.
 BROADCAST_ROWS = 200_000
 #: Beyond that, parts into which a bucket's rows are divided for the join with its size or suspects.
@@ -60,22 +64,24 @@ def _np_check(k: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (p >> 15) & _LOW
 
 
-def _slot(k: Column, j: int) -> Column:
-    return F.pmod(F.shiftright(k, 20 * j).bitwiseAND(F.lit(0xFFFFF).cast("bigint")), F.lit(WIDTH)).cast("int") + j * WIDTH
+def _slot(kh: Column, j: int) -> Column:
+    """One of three cells of a pair, from the exclusive or of its two hashes."""
+    return F.pmod(F.shiftright(kh, 20 * j).bitwiseAND(F.lit(0xFFFFF).cast("bigint")), F.lit(WIDTH)).cast("int") + j * WIDTH
 
 
-def _np_slot(k: np.ndarray, j: int) -> np.ndarray:
-    return ((k >> (20 * j)) & 0xFFFFF) % WIDTH + j * WIDTH
+def _np_slot(kh: np.ndarray, j: int) -> np.ndarray:
+    return ((kh >> (20 * j)) & 0xFFFFF) % WIDTH + j * WIDTH
 
 
-def peel(bucket: np.ndarray, cells: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def peel(bucket: np.ndarray, cells: dict[str, np.ndarray], count: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Peels many buckets at once.
 
-    ``bucket`` numbers the bucket of each cell row from 0 and ``cells`` has slot, n and the sums.
+    ``bucket`` numbers the bucket of each cell row from 0 and ``cells`` has slot, n and the sums; ``count`` is the
+    number of buckets, if some may have no cell.
     Returns bucket and key hash of every revealed pair, and a flag per bucket: whether it is empty now.
     """
     size = 3 * WIDTH
-    count = int(bucket.max()) + 1 if len(bucket) else 0
+    count = count if count is not None else int(bucket.max()) + 1 if len(bucket) else 0
     at = bucket * size + cells["slot"]
     table = {c: np.zeros(count * size, np.int64) for c in ("n", "kl", "kh", "hl", "hh", "ck")}
     for c, v in table.items():
@@ -97,7 +103,7 @@ def peel(bucket: np.ndarray, cells: dict[str, np.ndarray]) -> tuple[np.ndarray,
         i, m, part = i[whole], m[whole], {c: v[whole] for c, v in part.items()}
         k, h = (part["kh"] << 32) | part["kl"], (part["hh"] << 32) | part["hl"]
         b, slot = i // size, i % size
-        own = np.choose(slot // WIDTH, [_np_slot(k, j) for j in range(3)]) == slot
+        own = np.choose(slot // WIDTH, [_np_slot(k ^ h, j) for j in range(3)]) == slot
         pure = own & (_np_check(k, h) == part["ck"])
         if not pure.any():
             break
@@ -108,7 +114,7 @@ def peel(bucket: np.ndarray, cells: dict[str, np.ndarray]) -> tuple[np.ndarray,
         found_k.append(k)
         parts = {"n": np.ones_like(k), "kl": k & _LOW, "kh": k >> 32, "hl": h & _LOW, "hh": h >> 32, "ck": _np_check(k, h)}
         for j in range(3):
-            to = b * size + _np_slot(k, j)
+            to = b * size + _np_slot(k ^ h, j)
             for c, v in parts.items():
                 np.subtract.at(table[c], to, v * m)
     left = np.zeros(count * size, bool)
@@ -119,32 +125,63 @@ def peel(bucket: np.ndarray, cells: dict[str, np.ndarray]) -> tuple[np.ndarray,
     return np.concatenate(found_b or [none]), np.concatenate(found_k or [none]), clean
 
 
+#: The slot after a bucket's cells, in which its keys are counted: n of the source, kl of the target.
+COUNT_SLOT = 3 * WIDTH
+_FIELDS = ("slot", "n", "kl", "kh", "hl", "hh", "ck")
+
+
 def _peel_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per bucket a row with its counts, and a row per suspect: a key hash, or null for all of its rows."""
     for pdf in it:
         if not len(pdf):
             continue
         lengths = pdf["cells"].map(len).to_numpy()
         flat = [c for row in pdf["cells"] for c in row]
-        cells = {f: np.fromiter((c[f] for c in flat), np.int64, len(flat)) for f in ("slot", "n", "kl", "kh", "hl", "hh", "ck")}
-        b, k, clean = peel(np.repeat(np.arange(len(pdf)), lengths), cells)
-        ok = clean[b]
+        cells = {f: np.fromiter((c[f] for c in flat), np.int64, len(flat)) for f in _FIELDS}
+        of = np.repeat(np.arange(len(pdf)), lengths)
+        counting = cells["slot"] == COUNT_SLOT
+        counts = [np.zeros(len(pdf), np.int64) for _ in range(2)]
+        for c, f in zip(counts, ("n", "kl"), strict=True):
+            c[of[counting]] = cells[f][counting]
+        found, k, clean = peel(of[~counting], {f: v[~counting] for f, v in cells.items()}, len(pdf))
+        ok = clean[found]
         failed = np.flatnonzero(~clean)
-        rows = np.concatenate([b[ok], failed])
-        keys = pd.array(np.concatenate([k[ok], np.zeros(len(failed), np.int64)]), dtype="Int64")
+        rows = np.concatenate([np.arange(len(pdf)), found[ok], failed])
+        suspect = np.arange(len(rows)) >= len(pdf)
+        keys = pd.array(np.concatenate([np.zeros(len(pdf), np.int64), k[ok], np.zeros(len(failed), np.int64)]), dtype="Int64")
+        keys[: len(pdf)] = pd.NA
         keys[len(rows) - len(failed) :] = pd.NA
-        yield pd.DataFrame({"__bucket": pdf["__bucket"].to_numpy()[rows], "__sub": pdf["__sub"].to_numpy()[rows], "__key": keys})
+        out = {"__bucket": pdf["__bucket"].to_numpy()[rows], "__sub": pdf["__sub"].to_numpy()[rows], "__key": keys, "__suspect": suspect}
+        yield pd.DataFrame(out | {f"__{n}": np.where(suspect, 0, c[rows]) for n, c in zip(("s", "t"), counts, strict=True)})
+
+
+#: Rows of a task among which repeats are dropped before they are moved.
+THIN_ROWS = 200_000
+
+
+def _thin(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows without repeats, so far as these lie near each other."""
 
+    def distinct(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        return t.group_by(t.column_names).aggregate([]).select(t.column_names).to_batches()
 
-def key_counts(source: DataFrame, target: DataFrame, keys: list[str], bucket_by: str) -> DataFrame:
-    """Distinct keys per bucket column in each copy: (bucket_by, source_rows, target_rows)."""
+    held, rows = [], 0
+    for batch in it:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= THIN_ROWS:
+            yield from distinct(held)
+            held, rows = [], 0
+    if held:
+        yield from distinct(held)
+
+
+def bucket_sizes(source: DataFrame, target: DataFrame, keys: list[str], bucket_by: str) -> DataFrame:
+    """(__bucket, __n): rows of each bucket in the copy that has more, repeats included; one column is read."""
     some = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
-    both = source.where(some).select(*keys, F.lit(1).alias("__s")).unionByName(target.where(some).select(*keys, F.lit(0).alias("__s")))
-    return (
-        both.groupBy(*keys, "__s")
-        .agg(F.lit(1).alias("__one"))
-        .groupBy(bucket_by)
-        .agg(F.sum("__s").alias("source_rows"), F.sum(1 - F.col("__s")).alias("target_rows"))
-    )
+    both = source.where(some).select(F.col(bucket_by).alias("__bucket"), F.lit(1).alias("__s")).unionByName(target.where(some).select(F.col(bucket_by).alias("__bucket"), F.lit(0).alias("__s")))
+    return both.groupBy("__bucket").agg(F.greatest(F.sum("__s"), F.sum(1 - F.col("__s"))).alias("__n"))
 
 
 def _salted(few: DataFrame, small: bool) -> DataFrame:
@@ -171,40 +208,46 @@ def _pairs(df: DataFrame, keys: list[str], fields: list[str], bucket_by: str, la
     return rows.join(large, ["__bucket", "__salt"], "left").withColumn("__sub", subs.cast("int")).drop("__subs", "__salt")
 
 
-def sketch_difference(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Cells of the source's tables minus the target's that aren't empty, gathered per bucket."""
-    signed = source.select("__bucket", "__sub", "__k", "__h", F.lit(1).cast("bigint").alias("__s")).unionByName(
-        target.select("__bucket", "__sub", "__k", "__h", F.lit(-1).cast("bigint").alias("__s"))
-    )
-    k, h, s = F.col("__k"), F.col("__h"), F.col("__s")
+def sketches(source: DataFrame, target: DataFrame, keys: list[str], bucket_by: str) -> DataFrame:
+    """(__bucket, __sub, cells): cells of the source's tables minus the target's that aren't empty, with the
+    distinct keys of both counted in one cell more."""
+    other = [k for k in keys if k != bucket_by]
+    signed = source.select("__bucket", "__sub", *other, "__h", F.lit(True).alias("__src")).unionByName(target.select("__bucket", "__sub", *other, "__h", F.lit(False).alias("__src")))
+    near = signed.mapInArrow(_thin, signed.schema).repartition("__bucket", "__sub")
+    once = near.groupBy("__bucket", "__sub", *other, "__src").agg(F.min("__h").alias("__lo"), F.max("__h").alias("__hi"))
+    pairs = once.select(
+        "__bucket", "__sub", F.xxhash64(*[F.col("__bucket" if c == bucket_by else c) for c in keys]).alias("__k"),
+        F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(F.xxhash64("__lo", "__hi", "__src")).alias("__h"), F.when(F.col("__src"), 1).otherwise(-1).cast("bigint").alias("__sign"),
+    )
+    k, h, s = F.col("__k"), F.col("__h"), F.col("__sign")
     parts = {"n": s, "kl": s * _low(k), "kh": s * F.shiftright(k, 32), "hl": s * _low(h), "hh": s * F.shiftright(h, 32), "ck": s * _check(k, h)}
-    spread = signed.select(
-        "__bucket", "__sub", *[v.alias(c) for c, v in parts.items()], F.explode(F.array(*[_slot(k, j) for j in range(3)])).alias("slot")
-    )
+    zero = F.lit(0).cast("bigint")
+    counted = {"n": F.when(s > 0, 1).otherwise(0).cast("bigint"), "kl": F.when(s < 0, 1).otherwise(0).cast("bigint")}
+    cells = [F.struct(_slot(k.bitwiseXOR(h), j).alias("slot"), *[v.alias(c) for c, v in parts.items()]) for j in range(3)]
+    cells.append(F.struct(F.lit(COUNT_SLOT).alias("slot"), *[counted.get(c, zero).alias(c) for c in parts]))
+    spread = pairs.select("__bucket", "__sub", F.explode(F.array(*cells)).alias("c")).select("__bucket", "__sub", "c.*")
     summed = spread.groupBy("__bucket", "__sub", "slot").agg(*[F.sum(c).alias(c) for c in parts])
     left = summed.where(" OR ".join(f"{c} <> 0" for c in parts))
     return left.groupBy("__bucket", "__sub").agg(F.collect_list(F.struct("slot", *parts)).alias("cells"))
 
 
-def differing_rows(
-    source: DataFrame, target: DataFrame, keys: list[str], fields: list[str], bucket_by: str, counts: DataFrame
-) -> DataFrame:
-    """One row per key missing from a copy or differing in a field: keys and the list ``names``.
+def differing_rows(source: DataFrame, target: DataFrame, keys: list[str], fields: list[str], bucket_by: str) -> tuple[DataFrame, DataFrame]:
+    """One row per key missing from a copy or differing in a field, keys and the list ``names``; and (bucket_by,
+    source_rows, target_rows), the distinct keys of each bucket.
 
-    ``names`` holds 'source_only', 'target_only' or the differing fields.  ``counts`` is
-    :func:`key_counts`, written once.
+    ``names`` holds 'source_only', 'target_only' or the differing fields.
     """
     kinds = field_types(source, fields)
-    n = F.greatest("source_rows", "target_rows")
-    large = counts.where(n > ROWS).select(F.col(bucket_by).alias("__bucket"), F.ceil(n / ROWS).cast("bigint").alias("__subs"))
+    sizes = materialise(bucket_sizes(source, target, keys, bucket_by).where(F.col("__n") > ROWS), "sizes")
+    large = sizes.select("__bucket", F.ceil(F.col("__n") / ROWS).cast("bigint").alias("__subs"))
     few = large.count() <= BROADCAST_ROWS
     large = _salted(large, few)
     s, t = (_pairs(x, keys, fields, bucket_by, large, few) for x in (source, target))
     bucket_type = source.schema[bucket_by].dataType.simpleString()
-    suspects = materialise(
-        sketch_difference(s, t).mapInPandas(_peel_batches, f"__bucket {bucket_type}, __sub int, __key bigint"), "suspects"
-    )
-    suspects = suspects.select(F.col("__bucket").alias("__b"), F.col("__sub").alias("__u"), "__key")
+    schema = f"__bucket {bucket_type}, __sub int, __key bigint, __suspect boolean, __s bigint, __t bigint"
+    peeled = materialise(sketches(s, t, keys, bucket_by).mapInPandas(_peel_batches, schema), "peeled")
+    counts = peeled.where("NOT __suspect").groupBy(F.col("__bucket").alias(bucket_by)).agg(F.sum("__s").alias("source_rows"), F.sum("__t").alias("target_rows"))
+    suspects = peeled.where("__suspect").select(F.col("__bucket").alias("__b"), F.col("__sub").alias("__u"), "__key")
     if suspects.count() <= BROADCAST_ROWS:
         suspects = F.broadcast(suspects)
     hit = (
@@ -226,7 +269,7 @@ def differing_rows(
         .when(F.col("__src").isNull(), F.array(F.lit("target_only")))
         .otherwise(differing)
     )
-    return per_key.select(*keys, names.alias("names")).where(F.size("names") > 0)
+    return per_key.select(*keys, names.alias("names")).where(F.size("names") > 0), counts
 
 
 COUNTS = ("SourceRows", "TargetRows", "MismatchedRows", "SourceOnlyRows", "TargetOnlyRows")
@@ -260,8 +303,8 @@ ACCOUNT_FIELDS = ["branchnbr", "mjaccttypcd", "acctstatcd", "acctname", "curbal"
 def account_findings(spark: SparkSession, source: DataFrame, target: DataFrame, log: DataFrame) -> DataFrame:
     """(batch_id, acctnbr, field_name) of the two account copies and the log of earlier runs."""
     fields = ACCOUNT_FIELDS
-    counts = materialise(key_counts(source, target, ACCOUNT_KEYS, "batch_id"), "counts")
-    found = materialise(differing_rows(source, target, ACCOUNT_KEYS, fields, "batch_id", counts), "differences")
+    found, counts = differing_rows(source, target, ACCOUNT_KEYS, fields, "batch_id")
+    found = materialise(found, "differences")
     rows = found.select("batch_id", "acctnbr", F.explode("names").alias("field_name"))
     wrong = log_findings(log, counts, found, "batch_id")
     return rows.unionByName(wrong.select("batch_id", F.lit(-1).cast("bigint").alias("acctnbr"), "field_name"))

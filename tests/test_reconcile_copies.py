@@ -78,6 +78,25 @@ def test_few_and_many_differences(spark):
         assert check(spark, s, t) == brute(s, t)[0]
 
 
+def test_repeats_that_contradict_each_other(spark):
+    a = [1, 5, 1, "A", "S", "Ann", 1.5, 0.5, None, "n", "x"]
+    b = [1, 5, 2, *a[3:]]
+    assert check(spark, [a, b], [b, a, a]) == set()
+    assert check(spark, [a, b], [a]) == {(1, 5, "branchnbr")}
+
+
+def test_one_key_repeated_for_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(rc, "THIN_ROWS", 50)
+    s, t = copies(7, 200, 0.1)
+    s, t = s + [s[3]] * 150, [x for x in t if x[:2] != s[3][:2]]
+    want, a, b = brute(s, t)
+    day = dt.datetime(2026, 1, 1)
+    n = [sum(k[0] == s[3][0] for k in x) for x in (a, b)]
+    found = check(spark, s, t, [(1, s[3][0], day, n[0], n[1], -1, 0, 0)])
+    assert {x for x in found if x[1] != -1} == want
+    assert not {x[2] for x in found if x[1] == -1} & {"SourceRows", "TargetRows"}
+
+
 def test_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(rc, "BROADCAST_ROWS", -1)
     s, t = copies(4, 500, 0.1)
@@ -102,6 +121,19 @@ def test_empty(spark):
     assert check(spark, s, []) == brute(s, [])[0]
 
 
+def test_changed_rows_peel(spark, monkeypatch):
+    # Both pairs of a changed key are in the tables; only the changed keys are fetched, not their buckets.
+    s, t = copies(8, 600, 0.08)
+    want, a, b = brute(s, t)
+    seen = {}
+    real = rc.materialise
+    monkeypatch.setattr(rc, "materialise", lambda df, name: seen.setdefault(name, real(df, name)))
+    assert check(spark, s, t) == want
+    peeled = seen["peeled"].where("__suspect")
+    assert peeled.where("__key IS NULL").count() == 0
+    assert peeled.select("__bucket", "__sub", "__key").distinct().count() == len({x[:2] for x in want})
+
+
 def test_peel_reveals_repeated_pairs():
     rng = np.random.default_rng(0)
     k, h = rng.integers(-(1 << 63), 1 << 63, (2, 8), dtype=np.int64)
@@ -109,7 +141,7 @@ def test_peel_reveals_repeated_pairs():
     cells = {}
     for i in range(8):
         for j in range(3):
-            c = cells.setdefault(int(rc._np_slot(k[i], j)), dict.fromkeys(("n", "kl", "kh", "hl", "hh", "ck"), 0))
+            c = cells.setdefault(int(rc._np_slot(k[i] ^ h[i], j)), dict.fromkeys(("n", "kl", "kh", "hl", "hh", "ck"), 0))
             for f, v in zip(c, (1, k[i] & rc._LOW, k[i] >> 32, h[i] & rc._LOW, h[i] >> 32, rc._np_check(k[i], h[i])), strict=True):
                 c[f] += int(v) * int(m[i])
     cells = {s: c for s, c in cells.items() if any(c.values())}
