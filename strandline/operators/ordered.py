@@ -26,7 +26,8 @@ def running(
     """``rows`` with a column per entry of ``wanted``: an aggregate over the rows of its key before it.
 
     An entry is (kind, value): 'last' is the last value that isn't null, 'max' the largest, 'sum' the
-    sum, 0 if there is none.  The rows of a key are sorted by ``order``, or, if ``backwards``, by its
+    sum, 0 if there is none.  'rare' is 'last' where most rows have no value: only those that have one are
+    sorted for what is carried on.  The rows of a key are sorted by ``order``, or, if ``backwards``, by its
     opposite, so that 'last' is the next value.
     """
     some = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, at]])
@@ -39,17 +40,22 @@ def running(
     chunks = Window.partitionBy(*keys).orderBy(way("__o_chunk")).rowsBetween(Window.unboundedPreceding, -1)
 
     def over(kind: str, value: str, w) -> Column:
-        if kind == "last":
+        if kind in ("last", "rare"):
             return F.last(value, ignorenulls=True).over(w)
         return (F.max(value) if kind == "max" else F.sum(value)).over(w)
 
     def total(kind: str, v: Column) -> Column:
-        if kind == "last":
+        if kind in ("last", "rare"):
             return (F.min_by if backwards else F.max_by)(v, F.when(v.isNotNull(), F.struct(*sort)))
         return F.max(v) if kind == "max" else F.sum(v)
 
     found = cut.withColumns({f"__o_in{i}": over(k, f"__o_v{i}", inside) for i, k in enumerate(kinds)})
-    carried = cut.groupBy(*names).agg(*[total(k, F.col(f"__o_v{i}")).alias(f"__o_t{i}") for i, k in enumerate(kinds)])
+    totals = {i: total(k, F.col(f"__o_v{i}")).alias(f"__o_t{i}") for i, k in enumerate(kinds)}
+    dense = [t for i, t in totals.items() if kinds[i] != "rare"]
+    carried = cut.groupBy(*names).agg(*dense) if dense else cut.select(*names).distinct()
+    for i, kind in enumerate(kinds):
+        if kind == "rare":
+            carried = carried.join(cut.where(F.col(f"__o_v{i}").isNotNull()).groupBy(*names).agg(totals[i]), names, "left")
     carried = carried.select(*names, *[over(k, f"__o_t{i}", chunks).alias(f"__o_c{i}") for i, k in enumerate(kinds)])
     joined = found.join(carried, names)
     out = {}
@@ -58,5 +64,5 @@ def running(
         if kind == "sum":
             out[name] = F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
         else:
-            out[name] = F.coalesce(a, b) if kind == "last" else F.greatest(a, b)
+            out[name] = F.greatest(a, b) if kind == "max" else F.coalesce(a, b)
     return joined.withColumns(out).select(*rows.columns, *[n for n in wanted if n not in rows.columns])

@@ -70,7 +70,7 @@ def as_of_join(facts: DataFrame, bronze: DataFrame, fact_key: str, key: str, at:
     )
     both = versions.unionByName(f.withColumn("__kind", F.lit(1)), allowMissingColumns=True)
     order = [F.col(c) for c in ("__t", "__kind", "__e", "__tie")]
-    seen = running(both, ["__k"], "__t", order, {"__last": ("last", F.when(F.col("__kind") == 0, F.struct("__e", "__v")))}, chunk)
+    seen = running(both, ["__k"], "__t", order, {"__last": ("rare", F.when(F.col("__kind") == 0, F.struct("__e", "__v")))}, chunk)
     valid = F.col("__t") < F.col("__last.__e")
     out = seen.where("__kind = 1").select("__f.*", F.when(valid, F.col("__last.__v")).alias("__v"))
     alone = f.where(F.col("__k").isNull() | F.col("__t").isNull()).select("__f.*", F.lit(None).cast(versions.schema["__v"].dataType).alias("__v"))

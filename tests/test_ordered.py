@@ -20,13 +20,14 @@ def events(seed, n):
 def test_running_against_brute_force(spark):
     rows = events(1, 400)
     df = spark.createDataFrame(rows, "id bigint, k bigint, at timestamp_ntz, v int")
-    wanted = {"l": ("last", F.col("v")), "m": ("max", F.col("v")), "s": ("sum", F.col("v"))}
+    wanted = {"l": ("last", F.col("v")), "m": ("max", F.col("v")), "s": ("sum", F.col("v")), "r": ("rare", F.when(F.col("v") > 6, F.col("v")))}
     for back in (False, True):
-        got = {r["id"]: (r["l"], r["m"], r["s"]) for r in running(df, ["k"], "at", [F.col("at"), F.col("id")], wanted, "week", backwards=back).collect()}
+        got = {r["id"]: (r["l"], r["m"], r["s"], r["r"]) for r in running(df, ["k"], "at", [F.col("at"), F.col("id")], wanted, "week", backwards=back).collect()}
         want, by = {}, {}
         for i, k, at, v in sorted((x for x in rows if x[1] is not None and x[2]), key=lambda x: (x[2], x[0]), reverse=back):
             seen = [x for x in by.setdefault(k, []) if x is not None]
-            want[i] = (seen[-1] if seen else None, max(seen, default=None), sum(seen))
+            rare = [x for x in seen if x > 6]
+            want[i] = (seen[-1] if seen else None, max(seen, default=None), sum(seen), rare[-1] if rare else None)
             by[k].append(v)
         assert got == want
     assert running(df.limit(0), ["k"], "at", [F.col("at")], wanted).count() == 0
