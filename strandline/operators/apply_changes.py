@@ -189,9 +189,11 @@ SET, CLEAR, LIVE = 0, 1, 2
 _VECTOR = T.StructType([T.StructField(n, k) for n, k in (("__file", T.LongType()), ("__block", T.LongType()), ("__bits", T.BinaryType()), ("__n", T.IntegerType()), ("__own", T.BooleanType()), ("seg", T.StringType()))])
 
 
-def vectors(spark: SparkSession, table: ChangeTable) -> DataFrame:
-    """(__file, __block, __bits): a set bit is a row that no longer holds."""
+def vectors(spark: SparkSession, table: ChangeTable, blocks: DataFrame | None = None) -> DataFrame:
+    """(__file, __block, __bits): a set bit is a row that no longer holds; of all blocks or of those given."""
     rows = _segments(spark, table, "vectors", table.vectors, _VECTOR)
+    if blocks is not None:
+        rows = rows.join(blocks.select("__file", "__block"), ["__file", "__block"], "left_semi")
     if len(table.vectors) > 1:
         rows = rows.groupBy("__file", "__block").agg(F.max_by("__bits", "__n").alias("__bits"))
     return rows.select("__file", "__block", "__bits")
@@ -221,7 +223,7 @@ def _write_vectors(spark: SparkSession, table: ChangeTable, fresh: DataFrame, mo
         bits = materialise(bits, "moves")
     own = blocks.join(bits, ["__file", "__block"], "left").select("__file", "__block", F.coalesce(bitmaps.invert(F.col("__live")), bitmaps.full()).alias("__bits"), F.lit(True).alias("__own"))
     if table.vectors:
-        own = own.unionByName(_changed_blocks(vectors(spark, table), bits).withColumn("__own", F.lit(False)))
+        own = own.unionByName(_changed_blocks(vectors(spark, table, bits), bits).withColumn("__own", F.lit(False)))
     # Segments are told apart by their number: of a block's vectors the last counts.
     own.withColumn("__n", F.lit(len(table.vectors))).write.parquet(f"{table.root}/vectors/seg={seg}")
 
